@@ -54,7 +54,7 @@ def poll_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Uncleaned articles as responses of at most 500 each, one JSON text per row."""
     articles = raw_articles(spark, sf_dir)
     grouped = articles.groupBy(
-        F.floor(F.col("event_id") / ARTICLES_PER_RESPONSE).alias("poll")
+        F.expr(f"event_id div {ARTICLES_PER_RESPONSE}").alias("poll")
     ).agg(F.collect_list(F.struct(*ARTICLE.names)).alias("articles"))
     return grouped.select(
         F.to_json(F.struct("articles"), {"ignoreNullFields": "false"}).alias("value")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from registry import query
 from registry.inputs import messages, table, written
 from tallywire.operators.documents import stuff_context
-from tallywire.operators.embed import TfIdfEmbedder
+from tallywire.operators.embed import embed_corpus
 from tallywire.operators.nearest import nearest, vector_table
 from tallywire.plans.answers import answer, attach_documents
 from tallywire.plans.counting import author_counts, source_counts
@@ -85,10 +85,8 @@ def _(spark, sf):
 
 @query("embed_documents")
 def embed_documents(spark, sf):
-    documents = table(spark, sf, "documents")
-    return TfIdfEmbedder.fit(documents, "text").embed(documents.select("doc_id", "text"), "text").select(
-        "doc_id", "embedding"
-    )
+    _, vectors = embed_corpus(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    return vectors
 
 
 @query("retrieve_for_question")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter
 
 from registry import query
 from registry.inputs import (
@@ -22,7 +23,7 @@ from tallywire.operators.clean import flatten_article
 from tallywire.operators.windowed import with_window_bounds
 from tallywire.plans.counting import author_counts, source_counts
 from tallywire.schemas import ARTICLE, AUTHOR_COUNTS, SOURCE_COUNTS
-from tallywire.session import use_durable_state
+from tallywire.session import stateful
 from tallywire.sources.directories import json_directory, parquet_directory
 from tallywire.sources.messages import land_messages, landed_messages
 from tallywire.sources.polls import landed_articles
@@ -39,9 +40,14 @@ WITH {COUNTS}
 SELECT author, window_start, window_end, article_count_by_author FROM by_author WHERE {CLOSED}"""
 
 
+def _run(spark: SparkSession, writer: DataStreamWriter) -> None:
+    with stateful(spark):
+        run_available(writer)
+
+
 def _landed(spark: SparkSession, sf: str) -> DataFrame:
     path = land_messages(messages(spark, sf), scratch_path(spark, "landing"))
-    return landed_messages(use_durable_state(spark), path)
+    return landed_messages(spark, path)
 
 
 def _waves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -63,7 +69,7 @@ _MIDDLE = ("(SELECT make_timestamp(((epoch_us(min(ts)) + epoch_us(max(ts))) "
 def _(spark, sf):
     landing = written(poll_responses(spark, sf), "responses", "text")
     path, checkpoint = scratch_path(spark, "articles"), scratch_path(spark, "checkpoint")
-    run_available(parquet_sink(landed_articles(spark, landing), path, checkpoint))
+    _run(spark, parquet_sink(landed_articles(spark, landing), path, checkpoint))
     return flatten_article(parquet_directory(spark, path, ARTICLE))
 
 
@@ -71,7 +77,7 @@ def _(spark, sf):
 def _(spark, sf):
     path, checkpoint = scratch_path(spark, "values"), scratch_path(spark, "checkpoint")
     values = _landed(spark, sf).select(message_text().alias("value"))
-    run_available(parquet_sink(values, path, checkpoint))
+    _run(spark, parquet_sink(values, path, checkpoint))
     return parquet_directory(spark, path, T.StructType().add("value", T.StringType()))
 
 
@@ -79,7 +85,7 @@ def _(spark, sf):
 def stream_windowed_source(spark, sf):
     path, checkpoint = scratch_path(spark, "by-source"), scratch_path(spark, "checkpoint")
     batches = directory_target(path)
-    run_available(fan_out(source_counts(_landed(spark, sf)), [batches], checkpoint))
+    _run(spark, fan_out(source_counts(_landed(spark, sf)), [batches], checkpoint))
     return with_window_bounds(read_batches(spark, path, SOURCE_COUNTS))
 
 
@@ -87,21 +93,21 @@ def stream_windowed_source(spark, sf):
 def _(spark, sf):
     path, checkpoint = scratch_path(spark, "by-author"), scratch_path(spark, "checkpoint")
     batches = directory_target(path)
-    run_available(fan_out(author_counts(_landed(spark, sf)), [batches], checkpoint))
+    _run(spark, fan_out(author_counts(_landed(spark, sf)), [batches], checkpoint))
     return with_window_bounds(read_batches(spark, path, AUTHOR_COUNTS))
 
 
 @query("stream_parquet_sink", _CLOSED_BY_SOURCE)
 def _(spark, sf):
     path, checkpoint = scratch_path(spark, "by-source"), scratch_path(spark, "checkpoint")
-    run_available(parquet_sink(source_counts(_landed(spark, sf)), path, checkpoint))
+    _run(spark, parquet_sink(source_counts(_landed(spark, sf)), path, checkpoint))
     return with_window_bounds(parquet_directory(spark, path, SOURCE_COUNTS))
 
 
 @query("stream_json_sink", _CLOSED_BY_AUTHOR)
 def _(spark, sf):
     path, checkpoint = scratch_path(spark, "by-author"), scratch_path(spark, "checkpoint")
-    run_available(json_sink(author_counts(_landed(spark, sf)), path, checkpoint))
+    _run(spark, json_sink(author_counts(_landed(spark, sf)), path, checkpoint))
     return with_window_bounds(json_directory(spark, path, AUTHOR_COUNTS))
 
 
@@ -109,12 +115,11 @@ def _run_waves(spark: SparkSession, waves: list[DataFrame | None]) -> DataFrame:
     """Counts by source after landing each wave and running again from the checkpoint."""
     landing, path = scratch_path(spark, "landing"), scratch_path(spark, "by-source")
     checkpoint = scratch_path(spark, "checkpoint")
-    use_durable_state(spark)
     for wave in waves:
         if wave is not None:
             land_messages(wave, landing)
         counts = source_counts(landed_messages(spark, landing))
-        run_available(parquet_sink(counts, path, checkpoint))
+        _run(spark, parquet_sink(counts, path, checkpoint))
     return with_window_bounds(parquet_directory(spark, path, SOURCE_COUNTS))
 
 
@@ -143,7 +148,7 @@ def _(spark, sf):
     paths = {fmt: scratch_path(spark, f"fan-{fmt}") for fmt in formats}
     counts = source_counts(_landed(spark, sf))
     targets = [directory_target(paths[fmt], fmt) for fmt in formats]
-    run_available(fan_out(counts, targets, scratch_path(spark, "checkpoint")))
+    _run(spark, fan_out(counts, targets, scratch_path(spark, "checkpoint")))
     sides = [
         with_window_bounds(read_batches(spark, paths[fmt], SOURCE_COUNTS, fmt))
         .select(F.lit(fmt).alias("target"), "*")
@@ -160,10 +165,10 @@ def _(spark, sf):
     # The sink grows between two refreshes; the second reads only what was added.
     sink, path = scratch_path(spark, "by-source"), scratch_path(spark, "refreshes")
     checkpoint = scratch_path(spark, "checkpoint")
-    counts = source_counts(messages(use_durable_state(spark), sf))
+    counts = source_counts(messages(spark, sf))
     purchases = F.coalesce(F.col("source_id") == "purchase", F.lit(False))
     for part in (counts.where(purchases), counts.where(~purchases)):
         part.write.mode("append").parquet(sink)
         running = running_counts(spark, sink, SOURCE_COUNTS, "source_id")
-        run_available(snapshot_sink(running, path, checkpoint))
+        _run(spark, snapshot_sink(running, path, checkpoint))
     return latest_snapshot(spark, path, running.schema)

@@ -5,43 +5,62 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel, Pipeline
-from pyspark.ml.feature import HashingTF, IDF, Normalizer, Tokenizer
+from pyspark.ml.feature import HashingTF, IDF, IDFModel, Normalizer, Tokenizer
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallywire.storage import materialize
+
+DEFAULT_DIMENSIONS = 256
+
+
+def word_counts(df: DataFrame, text: str, dimensions: int = DEFAULT_DIMENSIONS) -> DataFrame:
+    """Hashed word counts of the whole text as a sparse vector, in place of the text."""
+    words = Tokenizer(inputCol="_text", outputCol="_words")
+    counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dimensions)
+    texts = df.withColumn("_text", F.coalesce(F.col(text), F.lit(""))).drop(text)
+    return counts.transform(words.transform(texts)).drop("_text", "_words")
+
 
 @dataclass(frozen=True)
 class TfIdfEmbedder:
-    """Hashed, idf-weighted word counts of unit length, made entirely in the JVM.
+    """Weighs hashed word counts by rarity and scales them to unit length.
 
-    Fitting is one aggregation whose result is a vector of ``dimensions`` numbers,
-    whatever the number of texts.
+    Fitting is one aggregation whose result is a vector of fixed width, whatever
+    the number of texts; applying it is a projection. Both stay in the JVM.
     """
 
-    model: PipelineModel
+    weights: IDFModel
+    dimensions: int
 
     @classmethod
-    def fit(cls, documents: DataFrame, text: str, dimensions: int = 256) -> TfIdfEmbedder:
-        steps = Pipeline(stages=[
-            Tokenizer(inputCol="_text", outputCol="_words"),
-            HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dimensions),
-            IDF(inputCol="_counts", outputCol="_weighted"),
-            Normalizer(inputCol="_weighted", outputCol="_unit", p=2.0),
-        ])
-        return cls(steps.fit(_texts(documents.select(text), text)))
+    def fit(cls, counts: DataFrame, dimensions: int = DEFAULT_DIMENSIONS) -> TfIdfEmbedder:
+        return cls(IDF(inputCol="_counts", outputCol="_weighted").fit(counts), dimensions)
 
-    def embed(self, df: DataFrame, text: str, output: str = "embedding") -> DataFrame:
-        embedded = self.model.transform(_texts(df, text))
-        return embedded.withColumn(output, vector_to_array("_unit", "float32")).drop(
-            "_text", "_words", "_counts", "_weighted", "_unit"
+    def embed_counts(self, counts: DataFrame, output: str = "embedding") -> DataFrame:
+        unit = Normalizer(inputCol="_weighted", outputCol="_unit", p=2.0)
+        vectors = unit.transform(self.weights.transform(counts))
+        return vectors.withColumn(output, vector_to_array("_unit", "float32")).drop(
+            "_counts", "_weighted", "_unit"
         )
 
+    def embed(self, df: DataFrame, text: str, output: str = "embedding") -> DataFrame:
+        return self.embed_counts(word_counts(df, text, self.dimensions), output)
+
 
-def _texts(df: DataFrame, text: str) -> DataFrame:
-    return df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+def embed_corpus(
+    documents: DataFrame, text: str, dimensions: int = DEFAULT_DIMENSIONS
+) -> tuple[TfIdfEmbedder, DataFrame]:
+    """An embedder fitted on the documents, and the documents with a vector for their text.
+
+    Weights depend on all texts, so two passes are needed. The counts are written
+    out between them: the second pass reads those, not the texts again.
+    """
+    counts = materialize(word_counts(documents, text, dimensions), "word-counts")
+    embedder = TfIdfEmbedder.fit(counts, dimensions)
+    return embedder, embedder.embed_counts(counts)
 
 
 def embed_with_model(

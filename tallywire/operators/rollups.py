@@ -31,11 +31,12 @@ def windows_per_key(counts: DataFrame, key: str) -> DataFrame:
 
 
 def top_key(counts: DataFrame, key: str, count: str) -> DataFrame:
-    """The key with the most articles; of equals, the first by name.
+    """The key with the most articles; of equals, the first by name."""
+    return top_total(total_per_key(counts, key, count), key, count)
 
-    Sort and limit together become one top-1 per task, merged on the way back.
-    """
-    totals = total_per_key(counts, key, count)
+
+def top_total(totals: DataFrame, key: str, count: str) -> DataFrame:
+    """Sort and limit together become one top-1 per task, merged on the way back."""
     return totals.orderBy(F.desc(count), F.col(key)).limit(1)
 
 

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywire.operators.documents import key_documents, stuff_context
-from tallywire.operators.embed import TfIdfEmbedder
+from tallywire.operators.embed import DEFAULT_DIMENSIONS, embed_corpus
 from tallywire.operators.nearest import DEFAULT_K, nearest
-from tallywire.operators.rollups import top_key, total_per_key
+from tallywire.operators.rollups import top_total, total_per_key
+from tallywire.storage import materialize
 
 # The questions asked of each sink.
 QUESTIONS = {
@@ -18,8 +19,15 @@ QUESTIONS = {
 
 
 def attach_documents(hits: DataFrame, documents: DataFrame, document_id: str) -> DataFrame:
-    """Look the found documents' texts up; only ids travelled through the search."""
-    return hits.join(documents, document_id, "left")
+    """Look up the texts of found documents; a hit without one keeps a null.
+
+    The hits are written first. Their size is then known to the planner, which
+    broadcasts their ids to the documents when they are few, so that the texts not
+    found are dropped where they are read instead of being shuffled.
+    """
+    hits = materialize(hits, "hits")
+    found = documents.join(hits.select(document_id).distinct(), document_id)
+    return hits.join(found, document_id, "left")
 
 
 def retrieve(
@@ -31,13 +39,12 @@ def retrieve(
     question: str = "question",
     text: str = "page_content",
     k: int = DEFAULT_K,
-    dimensions: int = 256,
+    dimensions: int = DEFAULT_DIMENSIONS,
 ) -> DataFrame:
     """For each question the context made of its ``k`` nearest documents."""
-    embedder = TfIdfEmbedder.fit(documents, text, dimensions)
+    embedder, corpus = embed_corpus(documents.select(document_id, text), text, dimensions)
     hits = nearest(
-        embedder.embed(questions.select(question_id, question), question),
-        embedder.embed(documents.select(document_id, text), text),
+        embedder.embed(questions.select(question_id, question), question), corpus,
         question_id=question_id, corpus_id=document_id, k=k,
     )
     found = attach_documents(hits, documents.select(document_id, text), document_id)
@@ -47,15 +54,15 @@ def retrieve(
 def answer(counts: DataFrame, key: str, count: str) -> tuple[DataFrame, DataFrame]:
     """The retrieved context for the key's question, and the exact answer.
 
-    A context of k documents cannot show every key; the exact answer ranks all.
+    A context of k documents cannot show every key; the exact answer ranks all. The
+    totals serve several passes, so they are written once.
     """
-    spark = counts.sparkSession
-    totals = total_per_key(counts, key, count)
+    totals = materialize(total_per_key(counts, key, count), "totals")
     documents = key_documents(totals, key, count).select(
         F.map_values("metadata")[0].alias("document_id"), "page_content"
     )
-    asked = spark.range(1).select(
+    asked = counts.sparkSession.range(1).select(
         F.lit(key).alias("question_id"), F.lit(QUESTIONS[key]).alias("question")
     )
     context = retrieve(asked, documents, question_id="question_id", document_id="document_id")
-    return context, top_key(counts, key, count)
+    return context, top_total(totals, key, count)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # State lives in RocksDB (off-heap, spilling to disk) so that the number of open
@@ -13,6 +17,9 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+_SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+_PARTITION_BYTES = 128 << 20
+
 
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Read and bucket times in UTC.
@@ -24,31 +31,47 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def use_durable_state(spark: SparkSession) -> SparkSession:
-    """Settings for stateful streams; call before a query's first start.
+def shuffle_partitions(shuffled_bytes: int, cores: int) -> int:
+    """Enough partitions to keep each near 128 MB and, at least, every core busy."""
+    waves = max(1, math.ceil(shuffled_bytes / _PARTITION_BYTES / cores))
+    return waves * cores
+
 
-    A checkpoint is bound to the number of state partitions of its first run, so
-    size ``spark.sql.shuffle.partitions`` for the peak load beforehand as well.
+@contextmanager
+def stateful(spark: SparkSession, partitions: int | None = None) -> Iterator[SparkSession]:
+    """Settings that a stateful query started inside the block takes with it.
+
+    The number of state partitions is fixed by a checkpoint's first run and adaptive
+    execution does not change it, so it is set here rather than left at a default:
+    one per core, or ``partitions``, to be chosen for the peak and not the first load.
     """
-    for key, value in STATE_STORE.items():
+    wanted = dict(STATE_STORE)
+    wanted[_SHUFFLE_PARTITIONS] = str(partitions or spark.sparkContext.defaultParallelism)
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
         spark.conf.set(key, value)
-    return spark
+    try:
+        yield spark
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def local_session(cores: str | int = "*", partitions: int = 8, memory: str = "12g") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
-    builder = (
+    spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tallywire")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
-        .config("spark.sql.shuffle.partitions", str(partitions))
+        .config(_SHUFFLE_PARTITIONS, str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .getOrCreate()
     )
-    for key, value in STATE_STORE.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -19,6 +19,17 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str, **extra: str)
     return spark.readStream.format("kafka").options(**options).load().select("value")
 
 
+def publish_messages(messages: DataFrame, servers: str, topic: str) -> None:
+    """Send a batch of messages to a topic; returns once the broker has taken them all."""
+    (
+        messages.select("value")
+        .write.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .save()
+    )
+
+
 def landed_messages(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """A folder of message files as a stream of the same shape as a topic."""
     return spark.readStream.schema(MESSAGE).options(**options).parquet(path)
