@@ -13,19 +13,20 @@ from tallywire.functions.event_time import PUBLISHED_AT_FORMAT
 from tallywire.functions.json_codec import encode_articles
 from tallywire.operators.clean import drop_placeholders
 from tallywire.schemas import ARTICLE
+from tallywire.sources.tables import read_table, spread
 from tallywire.storage import scratch_path
 
 ARTICLES_PER_RESPONSE = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id`` and the eight article fields, before cleaning."""
     event, user = F.col("event_id"), F.col("user_id")
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         event,
         F.when(user % 17 == 0, None).when(user % 23 == 0, "[Removed]")
         .otherwise(F.concat(F.lit("author_"), user.cast("string"))).alias("author"),

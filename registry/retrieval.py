@@ -14,6 +14,7 @@ from tallywire.operators.embed import embed_corpus
 from tallywire.operators.nearest import nearest, vector_table
 from tallywire.plans.answers import answer, attach_documents
 from tallywire.plans.counting import author_counts, source_counts
+from tallywire.sources.tables import spread
 
 # The questions: the mean vector of every label.
 _MEANS = """means AS (
@@ -85,7 +86,8 @@ def _(spark, sf):
 
 @query("embed_documents")
 def embed_documents(spark, sf):
-    _, vectors = embed_corpus(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    _, vectors = embed_corpus(documents, "text")
     return vectors
 
 
