@@ -28,7 +28,7 @@ from tallywire.sources.directories import json_directory, parquet_directory
 from tallywire.sources.messages import land_messages, landed_messages
 from tallywire.sources.polls import landed_articles
 from tallywire.storage import scratch_path
-from tallywire.streaming.fanout import directory_target, fan_out, read_batches
+from tallywire.streaming.fanout import directory_target, fan_out
 from tallywire.streaming.refresh import latest_snapshot, running_counts, snapshot_sink
 from tallywire.streaming.sinks import json_sink, parquet_sink, run_available
 
@@ -86,7 +86,7 @@ def stream_windowed_source(spark, sf):
     path, checkpoint = scratch_path(spark, "by-source"), scratch_path(spark, "checkpoint")
     batches = directory_target(path)
     _run(spark, fan_out(source_counts(_landed(spark, sf)), [batches], checkpoint))
-    return with_window_bounds(read_batches(spark, path, SOURCE_COUNTS))
+    return with_window_bounds(parquet_directory(spark, path, SOURCE_COUNTS))
 
 
 @query("stream_windowed_author", _CLOSED_BY_AUTHOR)
@@ -94,7 +94,7 @@ def _(spark, sf):
     path, checkpoint = scratch_path(spark, "by-author"), scratch_path(spark, "checkpoint")
     batches = directory_target(path)
     _run(spark, fan_out(author_counts(_landed(spark, sf)), [batches], checkpoint))
-    return with_window_bounds(read_batches(spark, path, AUTHOR_COUNTS))
+    return with_window_bounds(parquet_directory(spark, path, AUTHOR_COUNTS))
 
 
 @query("stream_parquet_sink", _CLOSED_BY_SOURCE)
@@ -144,15 +144,15 @@ WITH {COUNTS}, closed AS (
   SELECT window_start, window_end, source_id, article_count FROM by_source WHERE {CLOSED})
 SELECT 'parquet' AS target, * FROM closed UNION ALL SELECT 'json', * FROM closed""")
 def _(spark, sf):
-    formats = ("parquet", "json")
-    paths = {fmt: scratch_path(spark, f"fan-{fmt}") for fmt in formats}
+    readers = {"parquet": parquet_directory, "json": json_directory}
+    paths = {fmt: scratch_path(spark, f"fan-{fmt}") for fmt in readers}
     counts = source_counts(_landed(spark, sf))
-    targets = [directory_target(paths[fmt], fmt) for fmt in formats]
+    targets = [directory_target(path, fmt) for fmt, path in paths.items()]
     _run(spark, fan_out(counts, targets, scratch_path(spark, "checkpoint")))
     sides = [
-        with_window_bounds(read_batches(spark, paths[fmt], SOURCE_COUNTS, fmt))
+        with_window_bounds(read(spark, paths[fmt], SOURCE_COUNTS))
         .select(F.lit(fmt).alias("target"), "*")
-        for fmt in formats
+        for fmt, read in readers.items()
     ]
     return sides[0].unionByName(sides[1])
 

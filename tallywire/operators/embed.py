@@ -29,19 +29,25 @@ class TfIdfEmbedder:
     """Weighs hashed word counts by rarity and scales them to unit length.
 
     Fitting is one aggregation whose result is a vector of fixed width, whatever
-    the number of texts; applying it is a projection. Both stay in the JVM.
+    the number of texts; applying it is a projection. Both stay in the JVM. Without
+    a single document to fit on there are no weights, and counts are only scaled.
     """
 
-    weights: IDFModel
+    weights: IDFModel | None
     dimensions: int
 
     @classmethod
     def fit(cls, counts: DataFrame, dimensions: int = DEFAULT_DIMENSIONS) -> TfIdfEmbedder:
+        if counts.isEmpty():
+            return cls(None, dimensions)
         return cls(IDF(inputCol="_counts", outputCol="_weighted").fit(counts), dimensions)
 
     def embed_counts(self, counts: DataFrame, output: str = "embedding") -> DataFrame:
-        unit = Normalizer(inputCol="_weighted", outputCol="_unit", p=2.0)
-        vectors = unit.transform(self.weights.transform(counts))
+        if self.weights is None:
+            weighted = counts.withColumn("_weighted", F.col("_counts"))
+        else:
+            weighted = self.weights.transform(counts)
+        vectors = Normalizer(inputCol="_weighted", outputCol="_unit", p=2.0).transform(weighted)
         return vectors.withColumn(output, vector_to_array("_unit", "float32")).drop(
             "_counts", "_weighted", "_unit"
         )

@@ -59,10 +59,13 @@ def nearest(
     ])
 
     asked = materialize(asked, "questions")
+    width = F.size(vector)
     size = asked.agg(
-        F.count("*").alias("n"), F.coalesce(F.max(F.size(vector)), F.lit(0)).alias("width")
+        F.count("*").alias("n"), F.min(width).alias("narrow"), F.max(width).alias("wide")
     ).first()
-    per_block = max(1, block_bytes // (8 * max(1, size["width"])))
+    if size["narrow"] != size["wide"]:
+        raise ValueError(f"question vectors have {size['narrow']} to {size['wide']} numbers")
+    per_block = max(1, block_bytes // (8 * max(1, size["wide"] or 0)))
 
     if size["n"] <= per_block:
         shared = _share(asked, question_id, vector)
@@ -103,9 +106,11 @@ def _block_count(asked: DataFrame, question_id: str, n: int, per_block: int) ->
 
 def _share(block: DataFrame, question_id: str, vector: str) -> Broadcast:
     """Ids and vectors of a block whose size has been checked, on every executor."""
-    rows = block.select(question_id, vector).toArrow()
-    content = (rows.column(question_id).to_pylist(), rows.column(vector).to_pylist())
-    return block.sparkSession.sparkContext.broadcast(content)
+    rows = block.select(question_id, F.col(vector).cast("array<double>")).toArrow()
+    ids = rows.column(question_id).to_pylist()
+    flat = rows.column(vector).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    points = flat.reshape(len(ids), -1) if ids else flat
+    return block.sparkSession.sparkContext.broadcast((ids, points))
 
 
 def _search(shared: Broadcast, corpus: DataFrame, output: T.StructType, k: int) -> DataFrame:
@@ -117,10 +122,9 @@ def _search(shared: Broadcast, corpus: DataFrame, output: T.StructType, k: int)
         import numpy as np
         import pyarrow as pa
 
-        asked_ids, asked_points = shared.value
+        asked_ids, q = shared.value
         if not asked_ids:
             return
-        q = np.asarray(asked_points, dtype=np.float64)
         q_norm = (q * q).sum(axis=1)
         best: list[list[tuple]] = [[] for _ in asked_ids]
         reach = np.full(len(asked_ids), np.inf)

@@ -2,6 +2,7 @@
 
 The schema is never inferred, so an empty directory is an empty table and a file
 that lacks a field gives nulls. Listing, concatenating and pruning are Spark's.
+A directory with one folder per batch reads like one without.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ from pyspark.sql import types as T
 
 
 def parquet_directory(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)
+    files = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)
+    return files.select(*schema.names)
 
 
 def json_directory(
@@ -26,9 +28,10 @@ def json_directory(
     With ``skip_malformed`` a broken line is left out; the rest of its file is kept.
     """
     mode = "DROPMALFORMED" if skip_malformed else "PERMISSIVE"
-    return (
+    files = (
         spark.read.schema(schema)
         .option("pathGlobFilter", pattern)
         .option("mode", mode)
         .json(path)
     )
+    return files.select(*schema.names)

@@ -11,10 +11,12 @@ from pyspark.sql.streaming import DataStreamWriter
 REFRESH_INTERVAL = "2 minutes"
 
 
-def running_counts(spark: SparkSession, sink: str, schema: T.StructType, key: str) -> DataFrame:
+def running_counts(
+    spark: SparkSession, sink: str, schema: T.StructType, key: str, fmt: str = "parquet"
+) -> DataFrame:
     """Sink rows per key; each refresh reads only the files added since the last."""
     return (
-        spark.readStream.schema(schema).parquet(sink)
+        spark.readStream.schema(schema).format(fmt).load(sink)
         .where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count("*").alias("n_windows"))

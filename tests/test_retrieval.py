@@ -80,6 +80,12 @@ def test_no_questions(spark, vectors):
     assert nearest(q.where("false"), c, question_id="qid", corpus_id="cid").count() == 0
 
 
+def test_question_vectors_must_be_of_one_width(spark, vectors):
+    q, c = frames(spark, [(1, [1.0]), (2, [1.0, 2.0])], vectors[1])
+    with pytest.raises(ValueError, match="1 to 2 numbers"):
+        nearest(q, c, question_id="qid", corpus_id="cid")
+
+
 def test_repeated_question_ids_are_refused_when_they_cannot_be_split(spark, vectors):
     questions, corpus = vectors
     q, c = frames(spark, [(1, p) for _, p in questions], corpus)

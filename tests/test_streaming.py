@@ -13,7 +13,7 @@ from tallywire.plans.dashboard import live_counts
 from tallywire.schemas import AUTHOR_COUNTS, SOURCE_COUNTS
 from tallywire.session import shuffle_partitions, stateful
 from tallywire.sources.directories import json_directory, parquet_directory
-from tallywire.streaming.fanout import console_target, directory_target, fan_out, read_batches
+from tallywire.streaming.fanout import console_target, directory_target, fan_out
 from tallywire.streaming.refresh import REFRESH_INTERVAL, latest_snapshot
 from tallywire.streaming.sinks import (
     console_sink, json_sink, kafka_sink, parquet_sink, rows_dropped_as_late, run_available,
@@ -123,13 +123,13 @@ def test_fan_out_and_replay(spark, folders, capfd):
                console_target()]
     run(spark, fan_out(source_counts(messages(spark, source)), targets, checkpoint))
 
-    def read(name, fmt):
-        rows = with_window_bounds(read_batches(spark, f"{out}/{name}", SOURCE_COUNTS, fmt))
+    def read(directory, name):
+        rows = with_window_bounds(directory(spark, f"{out}/{name}", SOURCE_COUNTS))
         return sorted((f"{r.window_start:%H:%M}", r.source_id, r.article_count)
                       for r in rows.collect())
 
     expected = [("10:00", "cnn", 2), ("10:40", "bbc", 1)]
-    assert read("p", "parquet") == read("j", "json") == expected
+    assert read(parquet_directory, "p") == read(json_directory, "j") == expected
     assert "|bbc" in capfd.readouterr().out
 
     # A batch delivered a second time replaces itself.
@@ -137,7 +137,7 @@ def test_fan_out_and_replay(spark, folders, capfd):
         batch = spark.read.schema(SOURCE_COUNTS).parquet(f"{out}/p/{folder}").collect()
         number = int(folder.removeprefix("batch="))
         directory_target(f"{out}/p")(spark.createDataFrame(batch, SOURCE_COUNTS), number)
-    assert read("p", "parquet") == expected
+    assert read(parquet_directory, "p") == expected
 
 
 def test_refresh_follows_a_growing_sink(spark, folders, tmp_path):
