@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registry import query
-from registry.inputs import messages, table, written
+from registry.inputs import COUNTS, messages, table, written
+from registry.text_sql import bucketed, idf, split_words, weighted
 from tallywire.operators.documents import stuff_context
 from tallywire.operators.embed import embed_corpus
 from tallywire.operators.nearest import nearest, vector_table
-from tallywire.plans.answers import answer, attach_documents
+from tallywire.plans.answers import QUESTIONS, answer, attach_documents
 from tallywire.plans.counting import author_counts, source_counts
 from tallywire.sources.tables import spread
 
@@ -47,6 +48,37 @@ def _hits(spark: SparkSession, sf: str, **options) -> DataFrame:
                    question_id="label", corpus_id="vec_id", **options)
 
 
+def _answer_sql(p: str, key: str, title: str, table: str, count: str) -> str:
+    """CTEs, prefixed with ``p``, ending in the context for the question about ``key``."""
+    documents_counts = f"(SELECT * FROM {p}counts WHERE is_document)"
+    return f"""
+{p}documents AS (
+  SELECT {key} AS id, '{title}: ' || {key} || ', Number of articles: '
+    || CAST(CAST(sum({count}) AS BIGINT) AS VARCHAR) AS text
+  FROM {table} WHERE {key} IS NOT NULL GROUP BY {key}),
+{p}texts AS (
+  SELECT id, text, true AS is_document FROM {p}documents
+  UNION ALL SELECT question_id, question, false FROM questions WHERE question_id = '{key}'),
+{p}words AS ({split_words(f"{p}texts", "id, is_document", "text")}),
+{bucketed(f"{p}words", p)},
+{p}counts AS (
+  SELECT id, is_document, bucket, count(*) AS n
+  FROM {p}words JOIN {p}buckets USING (word) GROUP BY ALL),
+{p}idf AS ({idf(f"{p}documents", documents_counts)}),
+{p}vectors AS ({weighted(f"{p}counts", f"{p}idf", "id, is_document")}),
+{p}ranked AS (
+  SELECT d.id, d.text, row_number() OVER (ORDER BY round(sqrt(sum(
+           (coalesce(q.weight, 0) - coalesce(v.weight, 0)) ** 2)), 6), d.id) AS rank
+  FROM {p}documents d CROSS JOIN (SELECT bucket FROM {p}idf) i
+  LEFT JOIN {p}vectors v ON v.id = d.id AND v.is_document AND v.bucket = i.bucket
+  LEFT JOIN {p}vectors q ON NOT q.is_document AND q.bucket = i.bucket
+  GROUP BY d.id, d.text),
+{p}context AS (
+  SELECT '{key}' AS question_id, count(*) AS n_documents,
+         string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context
+  FROM {p}ranked WHERE rank <= 4)"""
+
+
 @query("vector_table", """
 SELECT vec_id, len(embedding) AS dimensions,
        round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))), 6) AS length
@@ -84,14 +116,32 @@ def _(spark, sf):
     return stuff_context(attach_documents(_hits(spark, sf), documents, "vec_id"), "label", "text")
 
 
-@query("embed_documents")
+# A vector is compared by its parts: one row per dimension that is not zero.
+@query("embed_documents", f"""
+WITH words AS ({split_words("documents", "doc_id", "text")}),
+{bucketed("words")},
+counts AS (SELECT doc_id, bucket, count(*) AS n FROM words JOIN buckets USING (word) GROUP BY ALL),
+idf AS ({idf("documents", "counts")}),
+vectors AS ({weighted("counts", "idf", "doc_id")})
+SELECT doc_id, bucket AS dimension, round(weight, 6) AS weight FROM vectors WHERE weight <> 0""")
 def embed_documents(spark, sf):
     documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
     _, vectors = embed_corpus(documents, "text")
-    return vectors
+    parts = vectors.select("doc_id", F.posexplode("embedding").alias("dimension", "part"))
+    return parts.where("part <> 0").select(
+        "doc_id", "dimension", F.round(F.col("part").cast("double"), 6).alias("weight")
+    )
 
 
-@query("retrieve_for_question")
+@query("retrieve_for_question", f"""
+WITH {COUNTS},
+questions AS (
+  SELECT 'source_id' AS question_id, '{QUESTIONS["source_id"]}' AS question
+  UNION ALL SELECT 'author', '{QUESTIONS["author"]}'),
+""" + ",".join(_answer_sql(*kind) for kind in (
+    ("s_", "source_id", "Source", "by_source", "article_count"),
+    ("a_", "author", "Author", "by_author", "article_count_by_author"))) + """
+SELECT * FROM s_context UNION ALL SELECT * FROM a_context""")
 def _(spark, sf):
     sent = messages(spark, sf)
     by_source, _ = answer(source_counts(sent), "source_id", "article_count")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml.feature import HashingTF, IDF, IDFModel, Normalizer, Tokenizer
+from pyspark.ml.feature import HashingTF, IDF, IDFModel, Normalizer, RegexTokenizer
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +17,8 @@ DEFAULT_DIMENSIONS = 256
 
 
 def word_counts(df: DataFrame, text: str, dimensions: int = DEFAULT_DIMENSIONS) -> DataFrame:
-    """Hashed word counts of the whole text as a sparse vector, in place of the text."""
-    words = Tokenizer(inputCol="_text", outputCol="_words")
+    """Hashed counts of the lower-case words of the whole text, in place of the text."""
+    words = RegexTokenizer(inputCol="_text", outputCol="_words", pattern="\\s+")
     counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dimensions)
     texts = df.withColumn("_text", F.coalesce(F.col(text), F.lit(""))).drop(text)
     return counts.transform(words.transform(texts)).drop("_text", "_words")

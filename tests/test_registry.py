@@ -5,10 +5,6 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from check import compare, connect
 
-# Approximate or model-made results; tested on their own in test_retrieval.py.
-WITHOUT_SQL = {"embed_documents", "retrieve_for_question"}
-
-
 @pytest.fixture(scope="module")
 def con(small):
     return connect(small)
@@ -17,13 +13,12 @@ def con(small):
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_agrees_with_sql(spark, con, small, name):
     outcome, rows = compare(spark, con, small, name)
-    assert outcome == ("rows only" if name in WITHOUT_SQL else "ok")
+    assert outcome == "ok"
     assert rows > 0
 
 
-def test_every_other_query_has_sql():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_sql():
+    assert set(queries()) == set(oracle_sql())
 
 
 def test_entry(spark):

@@ -1,6 +1,7 @@
 """Neighbours against brute force; embeddings against their definition."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -114,16 +115,8 @@ def test_embedding_follows_its_definition(spark, small):
     _, vectors = embed_corpus(documents, "text", 64)
     got = {r.doc_id: r.embedding for r in vectors.collect()}
 
-    split = {}
-    for row in documents.collect():
-        # Java's \s: the six ASCII white-space characters; trailing empty words are dropped.
-        words = row.text.lower()
-        for blank in "\t\n\x0b\f\r":
-            words = words.replace(blank, " ")
-        parts = words.split(" ")
-        while len(parts) > 1 and not parts[-1]:
-            parts.pop()
-        split[row.doc_id] = parts
+    split = {row.doc_id: [w for w in re.split(r"[ \t\n\x0b\f\r]+", row.text.lower()) if w]
+             for row in documents.collect()}
     bucket = bucket_of(spark, {word for parts in split.values() for word in parts}, 64)
     counts = {doc_id: np.bincount([bucket[w] for w in parts], minlength=64).astype(float)
               for doc_id, parts in split.items()}
