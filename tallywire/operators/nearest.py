@@ -128,25 +128,28 @@ def _search(shared: Broadcast, corpus: DataFrame, output: T.StructType, k: int)
         q_norm = (q * q).sum(axis=1)
         best: list[list[tuple]] = [[] for _ in asked_ids]
         reach = np.full(len(asked_ids), np.inf)
-        # Two distances that round alike differ by less than this; it also covers
-        # the rounding error of the product form used to preselect.
-        slack = 4 * 10.0 ** -decimals
+        # Two distances that round alike differ by less than this.
+        slack = 2 * 10.0 ** -decimals
+        # Bound on the relative error of a squared distance taken from products.
+        unsure = 4 * (q.shape[1] + 8) * np.finfo(np.float64).eps
 
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
             x = flat.astype(np.float64).reshape(len(ids), q.shape[1])
             x_norm = (x * x).sum(axis=1)
+            error = unsure * (q_norm + x_norm.max(initial=0.0))
             step = max(1, (4 << 20) // max(1, len(ids)))
             for start in range(0, len(asked_ids), step):
                 part = slice(start, start + step)
+                # Squared distances by matrix product: fast, but inexact where they are
+                # small, so they only tell which rows are worth an exact distance.
                 rough = q_norm[part, None] + x_norm[None, :] - 2.0 * (q[part] @ x.T)
-                rough = np.sqrt(np.maximum(rough, 0.0))
+                limit = reach[part]
                 if len(ids) > k:
                     kth = np.partition(rough, k - 1, axis=1)[:, k - 1]
-                    limit = np.minimum(reach[part], kth) + slack
-                else:
-                    limit = reach[part] + slack
+                    limit = np.minimum(limit, np.sqrt(np.maximum(kth, 0.0) + error[part]))
+                limit = (limit + slack) ** 2 + error[part]
                 for row in np.flatnonzero(rough.min(axis=1) <= limit):
                     at = start + row
                     close = np.flatnonzero(rough[row] <= limit[row])

@@ -42,11 +42,16 @@ def stateful(spark: SparkSession, partitions: int | None = None) -> Iterator[Spa
     """Settings that a stateful query started inside the block takes with it.
 
     The number of state partitions is fixed by a checkpoint's first run and adaptive
-    execution does not change it, so it is set here rather than left at a default:
-    one per core, or ``partitions``, to be chosen for the peak and not the first load.
+    execution does not change it, so give ``partitions`` for the peak and not for the
+    first load. Left out, there is one per core; on a cluster, whose executors may
+    not all be there yet, no fewer than the session's shuffle partitions.
     """
-    wanted = dict(STATE_STORE)
-    wanted[_SHUFFLE_PARTITIONS] = str(partitions or spark.sparkContext.defaultParallelism)
+    if partitions is None:
+        context = spark.sparkContext
+        partitions = context.defaultParallelism
+        if not context.master.startswith("local"):
+            partitions = max(partitions, int(spark.conf.get(_SHUFFLE_PARTITIONS)))
+    wanted = {**STATE_STORE, _SHUFFLE_PARTITIONS: str(partitions)}
     before = {key: spark.conf.get(key, None) for key in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)

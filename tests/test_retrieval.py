@@ -68,6 +68,17 @@ def test_text_ids_null_vectors_and_a_small_corpus(spark, vectors):
     assert rows_of(got) == brute_force(questions, named, 4)
 
 
+def test_close_vectors_far_from_the_origin(spark):
+    # Squared norms near 1e9 leave the product form no digits for these distances.
+    rng = np.random.default_rng(5)
+    points = (10_000 + rng.integers(-3, 4, size=(500, 8)) / 64).astype(np.float32)
+    corpus = [(i, [float(v) for v in p]) for i, p in enumerate(points)]
+    questions = [(i, corpus[i][1]) for i in range(0, 500, 25)]
+    q, c = frames(spark, questions, corpus)
+    got = nearest(q, c, question_id="qid", corpus_id="cid")
+    assert rows_of(got) == brute_force(questions, corpus, 4)
+
+
 def test_many_tasks_and_merge_groups(spark, vectors, monkeypatch):
     monkeypatch.setattr(module, "_MERGE_GROUPS", 3)
     questions, corpus = vectors

@@ -64,6 +64,7 @@ def test_late_rows_are_dropped(spark, folders):
     query = run(spark, parquet_sink(source_counts(messages(spark, source)), out, checkpoint))
     assert by_source(spark, out) == [("10:00", "cnn", 1), ("10:40", "cnn", 1)]
     assert rows_dropped_as_late(query) == 1
+    assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 2
 
 
 def test_lateness_is_judged_by_the_previous_batch(spark, folders):
