@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +36,8 @@ def poll_source(fetch: Callable[[str, str, str], dict], name: str = "article_pol
     ``spark.dataSource.register`` and set the options ``q``, ``sources`` (comma
     separated) and ``language``: keyword, source list and language are applied by
     the service. Every source is fetched by a task of its own. Streamed, each
-    trigger polls once more; a service without a cursor resends what it sent before,
-    and nothing here removes the repeats.
+    trigger polls once more, so give it an interval; a service without a cursor
+    resends what it sent before, and nothing here removes the repeats.
     """
 
     class Part(InputPartition):
@@ -63,17 +64,15 @@ def poll_source(fetch: Callable[[str, str, str], dict], name: str = "article_pol
     class Stream(DataSourceStreamReader):
         def __init__(self, options):
             self.options = options
-            self.polls = 0
 
+        # A poll is known by its time, which also grows across restarts.
         def initialOffset(self):
-            return {"poll": 0}
+            return {"polled_at_ms": 0}
 
         def latestOffset(self, start=None, limit=None):
-            self.polls = max(self.polls, (start or {}).get("poll", 0)) + 1
-            return {"poll": self.polls}
+            return {"polled_at_ms": time.time_ns() // 1_000_000}
 
         def partitions(self, start, end):
-            self.polls = max(self.polls, end["poll"])
             return parts(self.options)
 
         def read(self, partition):

@@ -36,6 +36,9 @@ def fan_out(df: DataFrame, targets: Sequence[Target], checkpoint: str) -> DataSt
     """Scan and aggregate once per batch, then hand the batch to every target."""
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
+        if len(targets) == 1:
+            targets[0](batch, batch_id)
+            return
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for target in targets:
