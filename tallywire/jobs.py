@@ -17,6 +17,7 @@ from tallywire.session import pin_utc, stateful
 from tallywire.sources.directories import json_directory, parquet_directory
 from tallywire.sources.messages import kafka_messages, landed_messages
 from tallywire.sources.polls import landed_responses
+from tallywire.storage import discard_scratch
 from tallywire.streaming.fanout import console_target, directory_target, fan_out
 from tallywire.streaming.refresh import REFRESH_INTERVAL, running_counts, snapshot_sink
 from tallywire.streaming.sinks import console_sink, json_sink, kafka_sink, parquet_sink
@@ -131,3 +132,4 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
             result.show(truncate=False)
         else:
             result.awaitTermination()
+    discard_scratch(spark)

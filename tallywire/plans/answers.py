@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywire.operators.documents import key_documents, stuff_context
-from tallywire.operators.embed import DEFAULT_DIMENSIONS, embed_corpus
+from tallywire.operators.embed import DEFAULT_DIMENSIONS, embed_corpus, embed_with_model
 from tallywire.operators.nearest import DEFAULT_K, nearest
 from tallywire.operators.rollups import top_total, total_per_key
 from tallywire.storage import materialize
@@ -40,22 +42,29 @@ def retrieve(
     text: str = "page_content",
     k: int = DEFAULT_K,
     dimensions: int = DEFAULT_DIMENSIONS,
+    make_predict: Callable[[], Callable] | None = None,
 ) -> DataFrame:
-    """For each question the context made of its ``k`` nearest documents."""
-    embedder, corpus = embed_corpus(documents.select(document_id, text), text, dimensions)
-    hits = nearest(
-        embedder.embed(questions.select(question_id, question), question), corpus,
-        question_id=question_id, corpus_id=document_id, k=k,
-    )
-    found = attach_documents(hits, documents.select(document_id, text), document_id)
-    return stuff_context(found, question_id, text)
+    """For each question the context made of its ``k`` nearest documents.
+
+    Vectors are hashed tf-idf, or those of the model that ``make_predict`` loads.
+    """
+    documents = documents.select(document_id, text)
+    questions = questions.select(question_id, question)
+    if make_predict is None:
+        embedder, corpus = embed_corpus(documents, text, dimensions)
+        asked = embedder.embed(questions, question)
+    else:
+        corpus = embed_with_model(documents, text, make_predict)
+        asked = embed_with_model(questions, question, make_predict)
+    hits = nearest(asked, corpus, question_id=question_id, corpus_id=document_id, k=k)
+    return stuff_context(attach_documents(hits, documents, document_id), question_id, text)
 
 
-def answer(counts: DataFrame, key: str, count: str) -> tuple[DataFrame, DataFrame]:
+def answer(counts: DataFrame, key: str, count: str, **options) -> tuple[DataFrame, DataFrame]:
     """The retrieved context for the key's question, and the exact answer.
 
     A context of k documents cannot show every key; the exact answer ranks all. The
-    totals serve several passes, so they are written once.
+    totals serve several passes, so they are written once. ``options`` go to ``retrieve``.
     """
     totals = materialize(total_per_key(counts, key, count), "totals")
     documents = key_documents(totals, key, count).select(
@@ -64,5 +73,6 @@ def answer(counts: DataFrame, key: str, count: str) -> tuple[DataFrame, DataFram
     asked = counts.sparkSession.range(1).select(
         F.lit(key).alias("question_id"), F.lit(QUESTIONS[key]).alias("question")
     )
-    context = retrieve(asked, documents, question_id="question_id", document_id="document_id")
+    context = retrieve(asked, documents, question_id="question_id", document_id="document_id",
+                       **options)
     return context, top_total(totals, key, count)

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_made: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,7 +29,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/tallywire/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tallywire/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def discard_scratch(spark: SparkSession) -> None:
+    """Delete what this process wrote to scratch paths; call when no result needs it any more."""
+    configuration = spark._jsc.hadoopConfiguration()
+    while _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(configuration).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from tallywire.operators import nearest as module
 from tallywire.operators.embed import embed_corpus, embed_with_model
 from tallywire.operators.documents import stuff_context
 from tallywire.operators.nearest import nearest, vector_table
-from tallywire.plans.answers import QUESTIONS, answer, attach_documents
+from tallywire.plans.answers import QUESTIONS, answer, attach_documents, retrieve
 
 
 def brute_force(questions, corpus, k):
@@ -153,6 +153,23 @@ def test_own_model(spark):
     assert got == {"banana": [6.0, 3.0], "xyz": [3.0, 0.0]}
 
 
+def test_retrieval_with_own_model(spark):
+    def make_predict():
+        def predict(texts):
+            return np.array([[len(t), t.count("?")] for t in texts], dtype=np.float32)
+
+        return predict
+
+    questions = spark.createDataFrame([(1, "how?"), (2, "a much longer question")],
+                                      "q int, question string")
+    documents = spark.createDataFrame([(i, "x" * i) for i in range(1, 31)],
+                                      "d int, page_content string")
+    got = retrieve(questions, documents, question_id="q", document_id="d", k=2,
+                   make_predict=make_predict)
+    assert {r.q: r.context for r in got.collect()} == {
+        1: "xxxx\n\nxxx", 2: "x" * 22 + "\n\n" + "x" * 21}
+
+
 def test_context_is_in_rank_order_with_blank_lines(spark):
     hits = spark.createDataFrame([(1, 3, "c"), (1, 1, "a"), (1, 2, None), (2, 1, "z")],
                                  "q int, rank int, page_content string")

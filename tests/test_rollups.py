@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallywire.operators.documents import key_documents
@@ -52,12 +53,19 @@ def test_empty_input_gives_empty_results(spark):
     assert tuple(data_status(counts(spark, ("a", 1))).first()) == (False, "ok")
 
 
-def test_rank_is_the_place_in_the_whole_order(spark):
-    # A third of the rows share one value; ranks must still be 1..n without gaps.
+@pytest.mark.parametrize("merge_small", ["true", "false"])
+def test_rank_is_the_place_in_the_whole_order(spark, merge_small):
+    # A third of the rows share one value; ranks must still be 1..n without gaps,
+    # whether or not the sort ends up in one partition.
     rng = random.Random(3)
     rows = [(f"k{i:05d}", 7 if i % 3 == 0 else rng.randrange(1000)) for i in range(20_000)]
     df = spark.createDataFrame(rows, "key string, n int").repartition(13)
-    ranked = with_rank(df, [F.desc("n"), F.col("key")])
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, merge_small)
+    try:
+        ranked = with_rank(df, [F.desc("n"), F.col("key")])
+    finally:
+        spark.conf.unset(setting)
     expected = {key: place for place, (key, _) in
                 enumerate(sorted(rows, key=lambda r: (-r[1], r[0])), start=1)}
     assert {r.key: r["rank"] for r in ranked.collect()} == expected

@@ -1,6 +1,7 @@
 """Directories, messages and polls as inputs."""
 
 import json
+import os
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -158,12 +159,24 @@ class FakeSession:
         self.values[key] = value
 
 
-def test_the_shared_folder_is_the_one_the_session_names():
+def test_the_shared_folder_is_the_one_the_session_names(monkeypatch):
+    monkeypatch.setattr(storage, "_made", [])
     session = FakeSession("yarn", "hdfs://shared/ckpt/")
     assert storage.shared_folder(session) == "hdfs://shared/ckpt"
     assert storage.scratch_path(session, "x").startswith("hdfs://shared/ckpt/tallywire/x-")
 
 
+def test_scratch_is_discarded_on_request(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "_made", [])
+    df = storage.materialize(spark.range(3), "gone")
+    (path,) = storage._made
+    assert df.count() == 3 and os.path.isdir(path)
+    kept = tmp_path / "kept"
+    spark.range(1).write.parquet(str(kept))
+    storage.discard_scratch(spark)
+    assert not os.path.exists(path) and kept.is_dir() and storage._made == []
+
+
 def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         storage.shared_folder(FakeSession("yarn"))
