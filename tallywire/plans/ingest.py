@@ -1,17 +1,43 @@
-"""Poll responses to published messages."""
+"""Polls to published messages."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from tallywire.functions.json_codec import decode_poll_responses, encode_articles
 from tallywire.operators.clean import drop_placeholders, project_fields
+from tallywire.sources.polls import poll_source
 
-# Fixed value.
+# What is asked of the search service, and how often.
+KEYWORD = "nepal"
+NEWS_SOURCES = ("bbc-news,cnn,fox-news,nbc-news,the-guardian-uk,the-new-york-times,"
+                "the-washington-post,usa-today,independent,daily-mail")
+LANGUAGE = "en"
 POLL_INTERVAL = "15 minutes"
 
 
+def polled_responses(
+    spark: SparkSession,
+    fetch: Callable[[str, str, str], dict],
+    keyword: str = KEYWORD,
+    news_sources: str = NEWS_SOURCES,
+    language: str = LANGUAGE,
+) -> DataFrame:
+    """The responses of a search service as a stream, one poll per trigger."""
+    source = poll_source(fetch)
+    spark.dataSource.register(source)
+    return (
+        spark.readStream.format(source.name())
+        .option("q", keyword)
+        .option("sources", news_sources)
+        .option("language", language)
+        .load()
+    )
+
+
 def messages_from_responses(responses: DataFrame) -> DataFrame:
     """Explode, drop withdrawn articles, keep the published fields, encode."""
     articles = decode_poll_responses(responses)

@@ -17,7 +17,9 @@ from tallywire.sources.messages import (
 )
 from tallywire.sources.polls import landed_articles, poll_source
 from tallywire.streaming.sinks import parquet_sink, run_available
-from tallywire.plans.ingest import POLL_INTERVAL, at_poll_interval, messages_from_responses
+from tallywire.plans.ingest import (
+    POLL_INTERVAL, at_poll_interval, messages_from_responses, polled_responses,
+)
 
 LINE = json.dumps({"author": "a", "window": {"start": "2024-01-01T00:00:00.000Z",
                                              "end": "2024-01-01T00:05:00.000Z"},
@@ -100,9 +102,7 @@ def test_polling_one_task_per_source(spark):
 
 
 def test_polling_as_a_stream(spark, tmp_path):
-    spark.dataSource.register(poll_source(fetcher(), "fake_poll_stream"))
-    responses = (spark.readStream.format("fake_poll_stream").option("q", "nepal")
-                 .option("sources", "cnn,bbc").option("language", "en").load())
+    responses = polled_responses(spark, fetcher(), news_sources="cnn,bbc")
     sent = messages_from_responses(responses)
     writer = parquet_sink(sent, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     query = at_poll_interval(writer, "1 second").start()
