@@ -100,8 +100,8 @@ def knn_top4(spark, sf):
 @query("knn_question_blocks",
        f"WITH {_HITS} SELECT label, vec_id, distance, CAST(rank AS INTEGER) AS rank FROM hits")
 def _(spark, sf):
-    # The way taken when the questions are too many for one broadcast: room for six
-    # vectors of 64 per block makes several blocks of the same question set.
+    # The way taken when the questions are too many for one broadcast: with room for
+    # about five vectors of 64 per block, the same question set takes several blocks.
     return _hits(spark, sf, block_bytes=6 * 64 * 8)
 
 

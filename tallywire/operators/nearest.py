@@ -59,13 +59,15 @@ def nearest(
     ])
 
     asked = materialize(asked, "questions")
-    width = F.size(vector)
+    width, id_bytes = F.size(vector), F.octet_length(F.col(question_id).cast("string"))
     size = asked.agg(
-        F.count("*").alias("n"), F.min(width).alias("narrow"), F.max(width).alias("wide")
+        F.count("*").alias("n"), F.min(width).alias("narrow"), F.max(width).alias("wide"),
+        F.max(id_bytes).alias("id_bytes"),
     ).first()
     if size["narrow"] != size["wide"]:
         raise ValueError(f"question vectors have {size['narrow']} to {size['wide']} numbers")
-    per_block = max(1, block_bytes // (8 * max(1, size["wide"] or 0)))
+    row_bytes = 8 * (size["wide"] or 0) + (size["id_bytes"] or 0) + 1
+    per_block = max(1, block_bytes // row_bytes)
 
     if size["n"] <= per_block:
         shared = _share(asked, question_id, vector)
@@ -93,7 +95,7 @@ def _block(question_id: str, blocks: int):
 
 def _block_count(asked: DataFrame, question_id: str, n: int, per_block: int) -> int:
     """Number of hash blocks such that none exceeds the size bound."""
-    blocks = math.ceil(2 * n / per_block)
+    blocks = math.ceil(1.25 * n / per_block)
     while True:
         sizes = asked.groupBy(_block(question_id, blocks).alias("block")).count()
         largest = sizes.agg(F.max("count")).first()[0]
@@ -134,12 +136,14 @@ def _search(shared: Broadcast, corpus: DataFrame, output: T.StructType, k: int)
         unsure = 4 * (q.shape[1] + 8) * np.finfo(np.float64).eps
 
         for batch in batches:
+            if batch.num_rows == 0:
+                continue
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
             x = flat.astype(np.float64).reshape(len(ids), q.shape[1])
             x_norm = (x * x).sum(axis=1)
-            error = unsure * (q_norm + x_norm.max(initial=0.0))
-            step = max(1, (4 << 20) // max(1, len(ids)))
+            error = unsure * (q_norm + x_norm.max())
+            step = max(1, (4 << 20) // len(ids))
             for start in range(0, len(asked_ids), step):
                 part = slice(start, start + step)
                 # Squared distances by matrix product: fast, but inexact where they are
