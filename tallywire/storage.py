@@ -36,10 +36,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def discard_scratch(spark: SparkSession) -> None:
     """Delete what this process wrote to scratch paths; call when no result needs it any more."""
-    configuration = spark._jsc.hadoopConfiguration()
     while _made:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(configuration).delete(path, True)
+        delete(spark, _made.pop())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder, on whatever file system it is; nothing happens if it is not there."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
 def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:

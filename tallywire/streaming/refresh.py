@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from tallywire.storage import delete
+
 # Fixed value.
 REFRESH_INTERVAL = "2 minutes"
 
@@ -23,11 +25,18 @@ def running_counts(
     )
 
 
-def snapshot_sink(counts: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Write the full result of each refresh to a folder of its own."""
+def snapshot_sink(
+    counts: DataFrame, path: str, checkpoint: str, keep: int = 2
+) -> DataStreamWriter:
+    """Write the full result of each refresh to a folder of its own.
+
+    The last ``keep`` refreshes stay, so that one still being read is not taken away.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/refresh={batch_id}")
+        if batch_id >= keep:
+            delete(batch.sparkSession, f"{path}/refresh={batch_id - keep}")
 
     return (
         counts.writeStream.outputMode("complete")

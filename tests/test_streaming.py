@@ -158,6 +158,10 @@ def test_refresh_follows_a_growing_sink(spark, folders, tmp_path):
     land(source, [[at(46)], [at(120)]], start=2)
     run(spark, parquet_sink(source_counts(messages(spark, source)), out, checkpoint))
     assert refreshed() == [("bbc", 1), ("cnn", 2)]
+    land(source, [[at(240)]], start=4)
+    run(spark, parquet_sink(source_counts(messages(spark, source)), out, checkpoint))
+    assert refreshed() == [("bbc", 1), ("cnn", 3)]
+    assert sorted(os.listdir(snapshots)) == ["refresh=1", "refresh=2"]
     assert REFRESH_INTERVAL == "2 minutes"
 
 
