@@ -17,7 +17,7 @@ from tallywire.session import pin_utc, stateful
 from tallywire.sources.directories import json_directory, parquet_directory
 from tallywire.sources.messages import kafka_messages, landed_messages
 from tallywire.sources.polls import landed_responses
-from tallywire.storage import discard_scratch
+from tallywire.storage import scratch_run
 from tallywire.streaming.fanout import console_target, directory_target, fan_out
 from tallywire.streaming.refresh import REFRESH_INTERVAL, running_counts, snapshot_sink
 from tallywire.streaming.sinks import console_sink, json_sink, kafka_sink, parquet_sink
@@ -124,12 +124,22 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def wait_for_all(queries: Sequence[StreamingQuery]) -> None:
+    """Return when every query has ended; when one fails, stop the others and raise."""
+    try:
+        while not all([query.awaitTermination(1) for query in queries]):
+            pass
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     spark = pin_utc(spark or SparkSession.builder.appName("tallywire").getOrCreate())
-    for result in args.run(spark, args):
-        if isinstance(result, DataFrame):
-            result.show(truncate=False)
-        else:
-            result.awaitTermination()
-    discard_scratch(spark)
+    with scratch_run(spark):
+        results = args.run(spark, args)
+        wait_for_all([result for result in results if isinstance(result, StreamingQuery)])
+        for result in results:
+            if isinstance(result, DataFrame):
+                result.show(truncate=False)

@@ -2,42 +2,57 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
-_made: list[str] = []
+# Read where the cluster names no checkpoint folder; may be set in a running session.
+SCRATCH_DIR = "tallywire.scratch.dir"
+_run: ContextVar[list[str] | None] = ContextVar("tallywire_scratch_run", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach.
 
-    Only a single-machine session may go without one; it gets a temporary folder
-    of its own, kept for the rest of the session.
+    It is named by ``spark.checkpoint.dir``; where that is unset, by
+    ``tallywire.scratch.dir``; where that is unset too, it is the warehouse, which
+    tables are written to and executors therefore share. Never a temporary folder.
     """
-    folder = spark.conf.get(_CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="tallywire-")
-    spark.conf.set(_CHECKPOINT_DIR, folder)
-    return folder
+    for key in (_CHECKPOINT_DIR, SCRATCH_DIR):
+        folder = spark.conf.get(key, None)
+        if folder:
+            return folder.rstrip("/")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
+    """A fresh path below the shared folder; belongs to the run around it, if any."""
     path = f"{shared_folder(spark)}/tallywire/{label}-{uuid.uuid4().hex}"
-    _made.append(path)
+    made = _run.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
-def discard_scratch(spark: SparkSession) -> None:
-    """Delete what this process wrote to scratch paths; call when no result needs it any more."""
-    while _made:
-        delete(spark, _made.pop())
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, what this block and nothing else wrote to scratch paths.
+
+    Results made inside must have been read or written before the block ends. Without
+    a run, scratch tables stay: an unread result may still need them.
+    """
+    made: list[str] = []
+    token = _run.set(made)
+    try:
+        yield
+    finally:
+        _run.reset(token)
+        for path in made:
+            delete(spark, path)
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -3,8 +3,9 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
-from tallywire.jobs import main, parser
+from tallywire.jobs import main, parser, wait_for_all
 from tallywire.schemas import AUTHOR_COUNTS
 from tallywire.streaming.refresh import latest_snapshot
 
@@ -68,3 +69,13 @@ def test_an_empty_sink_has_a_status_and_no_answer(spark, folder, capsys):
 def test_a_key_is_needed():
     with pytest.raises(SystemExit):
         parser().parse_args(["ask", "--sink", "x"])
+
+
+def test_a_failing_sink_ends_the_job_and_its_other_queries(spark, folder, tmp_path):
+    source = spark.readStream.format("rate").load()
+    live = source.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "a")).start()
+    bad = (source.select(F.raise_error(F.lit("broken sink")).cast("string").alias("x"))
+           .writeStream.format("noop").option("checkpointLocation", str(tmp_path / "b")).start())
+    with pytest.raises(Exception, match="broken sink"):
+        wait_for_all([live, bad])
+    assert not live.isActive and not bad.isActive

@@ -2,6 +2,8 @@
 
 import json
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -145,43 +147,49 @@ def test_run_available_reports_failures(spark, tmp_path):
         run_available(parquet_sink(bad, str(tmp_path / "out"), str(tmp_path / "c")))
 
 
-class FakeSession:
-    def __init__(self, master, folder=None):
-        self.values = {"spark.checkpoint.dir": folder} if folder else {}
-        self.conf = self
-        self.sparkContext = self
-        self.master = master
+def test_the_shared_folder_is_the_one_the_session_names(spark, tmp_path):
+    session = spark.newSession()
+    preset = session.conf.get("spark.checkpoint.dir", None)
+    if preset:
+        assert storage.shared_folder(session) == preset.rstrip("/")
+    else:
+        session.conf.set(storage.SCRATCH_DIR, str(tmp_path))
+        assert storage.shared_folder(session) == str(tmp_path)
 
-    def get(self, key, default=None):
-        return self.values.get(key, default)
 
-    def set(self, key, value):
-        self.values[key] = value
-
-
-def test_the_shared_folder_is_the_one_the_session_names(monkeypatch):
-    monkeypatch.setattr(storage, "_made", [])
-    session = FakeSession("yarn", "hdfs://shared/ckpt/")
-    assert storage.shared_folder(session) == "hdfs://shared/ckpt"
-    assert storage.scratch_path(session, "x").startswith("hdfs://shared/ckpt/tallywire/x-")
-
-
-def test_scratch_is_discarded_on_request(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(storage, "_made", [])
-    df = storage.materialize(spark.range(3), "gone")
-    (path,) = storage._made
-    assert df.count() == 3 and os.path.isdir(path)
-    kept = tmp_path / "kept"
-    spark.range(1).write.parquet(str(kept))
-    storage.discard_scratch(spark)
-    assert not os.path.exists(path) and kept.is_dir() and storage._made == []
-
-
-def test_a_cluster_without_a_shared_folder_is_refused():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        storage.shared_folder(FakeSession("yarn"))
-
-
-def test_a_single_machine_gets_one_folder_per_session():
-    session = FakeSession("local[2]")
-    assert storage.shared_folder(session) == storage.shared_folder(session)
+STOCK = """
+import sys
+from pyspark.sql import SparkSession
+from tallywire import storage
+spark = (SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false")
+         .config("spark.sql.warehouse.dir", sys.argv[1] + "/house").getOrCreate())
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+with storage.scratch_run(spark):
+    df = storage.materialize(spark.range(3), "rows")
+    print(df.count(), df.inputFiles()[0])
+spark.conf.set(storage.SCRATCH_DIR, sys.argv[1] + "/own")
+print(storage.shared_folder(spark))
+"""
+
+
+def test_a_stock_session_writes_to_its_warehouse(tmp_path):
+    (tmp_path / "conf").mkdir()
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path / "conf"), "PYTHONPATH": root}
+    done = subprocess.run([sys.executable, "-c", STOCK, str(tmp_path)], env=env,
+                          capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    counted, own = done.stdout.split("\n")[:2]
+    assert counted.startswith("3 ") and f"{tmp_path}/house/_scratch/tallywire/" in counted
+    assert own == f"{tmp_path}/own"
+    assert not any((tmp_path / "house/_scratch/tallywire").iterdir())
+
+
+def test_a_run_deletes_its_own_scratch_tables_only(spark, tmp_path):
+    outside = storage.materialize(spark.range(3), "stays")
+    with storage.scratch_run(spark):
+        inside = storage.materialize(spark.range(4), "goes")
+        (path,) = {os.path.dirname(f) for f in inside.inputFiles()}
+        assert inside.count() == 4
+    assert not os.path.exists(path.removeprefix("file://"))
+    assert outside.count() == 3
