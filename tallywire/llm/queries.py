@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from tallywire.llm.decontaminate import hit_words, match_items
 from tallywire.llm.exact_dedup import duplicate_groups
+from tallywire.llm.license_scan import scan_licenses
+from tallywire.llm.warc import read_warc, with_revisits, write_warc
 from tallywire.session import pin_utc
+from tallywire.storage import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,3 +76,42 @@ ORACLE_SQL["op4_exact_dedup"] = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
   doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+
+
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = F.col("licenses")
+    first = F.transform(found["places"], lambda p: p["first"])
+    base = F.array_sort(F.array_distinct(F.transform(found["places"], lambda p: p["label"])))
+    spans = F.transform(found["spans"], lambda s: s["label"])
+    coverage = F.array_max(F.transform(found["spans"], lambda s: s["coverage"]))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_licenses(documents).select(
+        "doc_id", found["n_words"].alias("n_words"),
+        F.size(found["places"]).cast("long").alias("n_base"),
+        F.array_min(first).alias("first_word"), F.array_max(first).alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, spans)), ",").alias("labels"),
+        F.when(F.size(found["places"]) > 0, 1.0).otherwise(F.coalesce(coverage, F.lit(0.0)))
+        .alias("score"))
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    folder = scratch_path(spark, "warc")
+    write_warc(with_revisits(pages), folder)
+    return read_warc(spark, folder).select(
+        F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+ORACLE_SQL["op5_warc"] = """
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100
+    THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN first < page_id THEN first END AS refers_to
+FROM f"""
