@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallywire.llm.automaton import Alphabet, SuffixAutomaton, known_runs
 from tallywire.llm.text import (
-    NOT_PLAIN, list_column, lower_ascii, strings, text_bytes, word_hashes, word_ranges,
+    NOT_PLAIN, in_slabs, list_column, lower_ascii, strings, text_bytes, word_hashes, word_ranges,
 )
 from tallywire.storage import materialize
 
@@ -161,7 +161,7 @@ def _matching(matcher):
     def match(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = matcher.value
         for column in columns:
-            yield own.match(column)
+            yield in_slabs(own.match, column)
     return match
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallywire.llm.automaton import Alphabet, SuffixAutomaton, known_runs
 from tallywire.llm.text import (
-    NOT_PLAIN, list_column, lower_ascii, text_bytes, word_hashes, word_ranges,
+    NOT_PLAIN, in_slabs, list_column, lower_ascii, text_bytes, word_hashes, word_ranges,
 )
 
 # Phrases every place of which counts, and their labels.
@@ -190,7 +190,7 @@ def scan_licenses(docs: DataFrame, *, text: str = "text", into: str = "licenses"
     def scan(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = matcher.value
         for column in columns:
-            yield own.scan(column)
+            yield in_slabs(own.scan, column)
 
     found = F.arrow_udf(scan, _FOUND).asNondeterministic()
     return docs.withColumn(into, found(F.col(text).cast("string")))

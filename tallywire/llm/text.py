@@ -6,7 +6,7 @@ here makes a Python object per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,8 @@ NOT_PLAIN = bytes([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
-_SLAB_BYTES = 4 << 20
+# Arrays over a slab's bytes take some 40 times its size.
+_SLAB_BYTES = 2 << 20
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -50,6 +51,13 @@ def slabs(batches: Iterable[pa.RecordBatch], text: int, limit: int = _SLAB_BYTES
             start = stop
 
 
+def in_slabs(apply: Callable[[pa.Array], pa.Array], column: pa.Array) -> pa.Array:
+    """``apply`` to a text column, slab by slab."""
+    batch = pa.RecordBatch.from_arrays([column], ["text"])
+    parts = [apply(slab.column(0)) for slab in slabs([batch], 0)]
+    return pa.concat_arrays(parts) if parts else apply(column)
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     """A-Z in lower case; other bytes stay."""
     return _LOWER[data]
