@@ -61,7 +61,9 @@ def delete(spark: SparkSession, path: str) -> None:
     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
-def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
+def materialize(
+    df: DataFrame, label: str, partition_by: str | None = None, compression: str | None = None
+) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage at a point that outlives any executor, so values that a
@@ -69,5 +71,5 @@ def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> D
     """
     path = scratch_path(df.sparkSession, label)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    writer.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
