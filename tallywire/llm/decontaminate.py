@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywire.llm.automaton import Alphabet, SuffixAutomaton, known_runs
+from tallywire.llm.shared import Shared
 from tallywire.llm.text import (
     NOT_PLAIN, in_slabs, list_column, lower_ascii, strings, text_bytes, word_hashes, word_ranges,
 )
@@ -140,7 +141,7 @@ def match_items(docs: DataFrame, items: DataFrame, *, text: str = "text",
     found = []
     for block in range(blocks):
         rows = named.where(F.col("block") == block).orderBy("name", "text").toArrow()
-        matcher = spark.sparkContext.broadcast(ItemMatcher(
+        matcher = Shared(spark, ItemMatcher(
             rows.column("name").to_pylist(), rows.column("text").combine_chunks(), window))
         column = into if blocks == 1 else f"{into}_{block}"
         match = F.arrow_udf(_matching(matcher), _MATCH).asNondeterministic()
@@ -159,7 +160,7 @@ def match_items(docs: DataFrame, items: DataFrame, *, text: str = "text",
 
 def _matching(matcher):
     def match(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = matcher.value
+        own = matcher.value()
         for column in columns:
             yield in_slabs(own.match, column)
     return match

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallywire.llm.automaton import Alphabet, SuffixAutomaton, known_runs
+from tallywire.llm.shared import Shared
 from tallywire.llm.text import (
     NOT_PLAIN, in_slabs, list_column, lower_ascii, text_bytes, word_hashes, word_ranges,
 )
@@ -133,18 +135,19 @@ class LicenseMatcher:
                             best is None or chain[3] > best[3]):
                         best = chain
                 size = end - first
-                chains.append([best[0] if best else first, end, stop,
-                               size + (best[3] if best else 0)])
-                chains.sort(key=lambda c: c[1])
+                insort(chains, [best[0] if best else first, end, stop,
+                                size + (best[3] if best else 0)], key=lambda c: c[1])
             for first, end, _, covered in chains:
                 coverage = covered / self.sizes[template]
                 if coverage >= self.least_coverage:
                     found.append((first, end, self.labels[template], min(1.0, coverage)))
-        kept: list[tuple[int, int, str, float]] = []
+        kept: dict[str, list[tuple[int, int, str, float]]] = defaultdict(list)
         for span in sorted(found, key=lambda s: (-s[3], s[0], -s[1], s[2])):
-            if all(span[2] != k[2] or span[1] <= k[0] or k[1] <= span[0] for k in kept):
-                kept.append(span)
-        return sorted(kept)
+            own = kept[span[2]]
+            at = bisect_left(own, span)
+            if (not at or own[at - 1][1] <= span[0]) and (at == len(own) or span[1] <= own[at][0]):
+                own.insert(at, span)
+        return sorted(span for own in kept.values() for span in own)
 
     def scan(self, column: pa.Array) -> pa.StructArray:
         data, offsets = text_bytes(column)
@@ -184,11 +187,11 @@ def scan_licenses(docs: DataFrame, *, text: str = "text", into: str = "licenses"
     its links hold. The automaton's size follows from the given wordings only. Null and
     empty texts have no words; an existing column named ``into`` is replaced.
     """
-    matcher = docs.sparkSession.sparkContext.broadcast(
-        LicenseMatcher(phrases, templates, least_match, most_gap, least_coverage))
+    matcher = Shared(
+        docs.sparkSession, LicenseMatcher(phrases, templates, least_match, most_gap, least_coverage))
 
     def scan(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = matcher.value
+        own = matcher.value()
         for column in columns:
             yield in_slabs(own.scan, column)
 

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tallywire.llm.decontaminate import hit_words, match_items
 from tallywire.llm.exact_dedup import duplicate_groups
 from tallywire.llm.license_scan import scan_licenses
+from tallywire.llm.packing import pack
+from tallywire.llm.toxicity import THRESHOLD, fit_grammar, score_toxicity
 from tallywire.llm.warc import read_warc, with_revisits, write_warc
 from tallywire.session import pin_utc
 from tallywire.storage import scratch_path
@@ -115,3 +117,38 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN first < page_id THEN first END AS refers_to
 FROM f"""
+
+
+def fold(id_col: str, parts: int):
+    """crc32 of an id as text, modulo ``parts``."""
+    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(parts))
+
+
+def fitted_grammar(spark: SparkSession, sf_dir: str):
+    """The toxicity grammar, from the labels outside the held-out fold."""
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 3) != 1)
+    return fit_grammar(table(spark, sf_dir, "documents"), labels.select("doc_id", "toxic"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    score = F.col("toxicity.score")
+    return score_toxicity(documents, fitted_grammar(spark, sf_dir)).select(
+        "doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+        score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def vocabulary() -> str:
+    """The tokenizer file of the packing query, where it is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack(documents, vocabulary()).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
+        F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
