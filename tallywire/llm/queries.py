@@ -11,6 +11,8 @@ from tallywire.llm.decontaminate import hit_words, match_items
 from tallywire.llm.exact_dedup import duplicate_groups
 from tallywire.llm.license_scan import scan_licenses
 from tallywire.llm.packing import pack
+from tallywire.llm.recompression import remove_repeats
+from tallywire.llm.run_index import remove_repeated_bytes
 from tallywire.llm.toxicity import THRESHOLD, fit_grammar, score_toxicity
 from tallywire.llm.warc import read_warc, with_revisits, write_warc
 from tallywire.session import pin_utc
@@ -152,3 +154,36 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents, vocabulary()).select(
         "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
         F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", "n_removed",
+        F.sha2("text", 256).alias("kept_sha256"))
+
+
+_SPACED = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+ORACLE_SQL["op8_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, {_SPACED} AS w FROM documents),
+s AS (SELECT doc_id, i, list_aggregate(w[i:i + 49], 'string_agg', ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+f AS (SELECT doc_id, i FROM (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS first FROM s) WHERE first < doc_id),
+x AS (SELECT DISTINCT doc_id, k FROM (SELECT doc_id, unnest(range(i, i + 50)) AS k FROM f)),
+k AS (SELECT d.doc_id, i, word, x.k IS NULL AS stays
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d) d
+  LEFT JOIN x ON x.doc_id = d.doc_id AND x.k = d.i),
+t AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) FILTER (stays) AS kept,
+  count(*) FILTER (NOT stays) AS n_removed FROM k GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)"""
+
+
+@query
+def op6_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed",
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
