@@ -27,6 +27,7 @@ from tallywire.llm.text import RangeHash, mix
 from tallywire.storage import materialize
 
 _BLOCK = np.uint64(0x5851F42D4C957F2D)
+_NAME = np.uint64(0x8CB92BA72F3D8DD7)
 _WINDOW = np.uint64(0x14057B7EF767814F)
 
 
@@ -88,7 +89,8 @@ def blocks_of(rows: np.ndarray, hashes: RangeHash, anchors: np.ndarray, name_fro
     first, last = np.flatnonzero(new), np.flatnonzero(end)
     anchor = anchors[first]
     sizes = name_sizes if isinstance(name_sizes, int) else name_sizes[first]
-    name = hashes.of(anchor - name_from, anchor - name_from + sizes)
+    # Mixed again: anchors with least hashes would else have names in few buckets.
+    name = mix(hashes.of(anchor - name_from, anchor - name_from + sizes) ^ _NAME)
     return Blocks(rows, hashes, first, last, anchor, name, window, spans)
 
 
