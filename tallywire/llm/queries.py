@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallywire.llm.decontaminate import hit_words, match_items
 from tallywire.llm.exact_dedup import duplicate_groups
 from tallywire.llm.license_scan import scan_licenses
+from tallywire.llm.near_dedup import near_duplicate_groups
 from tallywire.llm.packing import pack
 from tallywire.llm.recompression import remove_repeats
 from tallywire.llm.run_index import remove_repeated_bytes
@@ -187,3 +188,27 @@ def op6_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "n_bytes", "n_removed",
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_duplicate_groups(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return groups.select(F.col("id").alias("doc_id"), "n_shingles", "component_id",
+                         (F.col("id") == F.col("component_id")).alias("kept"))
+
+
+ORACLE_SQL["op9_near_dedup"] = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE 100 * c >= 85 * (a.n + b.n - c)),
+r AS (SELECT doc_id, doc_id AS o FROM d UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.o),
+m AS (SELECT doc_id, min(o) AS component_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM m LEFT JOIN n USING (doc_id)"""
