@@ -9,7 +9,7 @@ no list of all keys is ever in one place.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -103,25 +103,32 @@ def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new), number
 
 
-def totals(asked: DataFrame, number: int) -> DataFrame:
-    """Replies to the questions of a round: per key twice its total, plus 1 if the own low is lowest."""
+def totals(asked: DataFrame, number: int, summary: Callable | None = None) -> DataFrame:
+    """Replies to the questions of a round: per key twice its total, plus 1 if the own low is lowest.
+
+    ``summary(totals, lows)`` of a bucket's distinct keys gives an array that is returned for
+    each bucket as the reply to chunk -1.
+    """
 
     def add(table: pa.Table) -> pa.Table:
         keys, borders = _joined(table.column("keys"), np.uint64)
         counts, _ = _joined(table.column("counts"), np.uint32)
         lows, _ = _joined(table.column("lows"), np.int64)
         order, firsts, of = grouped(keys)
-        reply = np.minimum(np.add.reduceat(counts[order].astype(np.int64), firsts), _MOST)[of]
-        reply <<= 1
-        if len(lows):
-            reply |= lows == np.minimum.reduceat(lows[order], firsts)[of]
+        total = np.add.reduceat(counts[order].astype(np.int64), firsts)
+        lowest = np.minimum.reduceat(lows[order], firsts) if len(lows) else None
+        reply = np.minimum(total, _MOST)[of] << 1
+        if lowest is not None:
+            reply |= lows == lowest[of]
         reply = reply.astype(np.uint32)
-        return pa.Table.from_batches([batch_of(
-            [{"chunk": chunk, "bucket": bucket, "round": number,
-              "reply": reply[borders[i]:borders[i + 1]].tobytes()}
-             for i, (chunk, bucket) in enumerate(zip(table.column("chunk").to_pylist(),
-                                                     table.column("bucket").to_pylist()))],
-            REPLY_SCHEMA)])
+        rows = [{"chunk": chunk, "bucket": bucket, "round": number,
+                 "reply": reply[borders[i]:borders[i + 1]].tobytes()}
+                for i, (chunk, bucket) in enumerate(zip(table.column("chunk").to_pylist(),
+                                                        table.column("bucket").to_pylist()))]
+        if summary is not None:
+            rows.append({"chunk": -1, "bucket": rows[0]["bucket"], "round": number,
+                         "reply": summary(total, lowest).tobytes()})
+        return pa.Table.from_batches([batch_of(rows, REPLY_SCHEMA)])
 
     rows = asked.where("bucket >= 0").select("chunk", "bucket", "keys", "counts", "lows")
     return rows.groupBy("bucket").applyInArrow(add, REPLIES)

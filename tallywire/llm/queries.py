@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallywire.llm.decontaminate import hit_words, match_items
 from tallywire.llm.exact_dedup import duplicate_groups
+from tallywire.llm.inputs import fitted_grammar, fold, table, vocabulary, with_digests
 from tallywire.llm.license_scan import scan_licenses
+from tallywire.llm.lm_scoring import score_documents
 from tallywire.llm.near_dedup import near_duplicate_groups
 from tallywire.llm.packing import pack
 from tallywire.llm.recompression import remove_repeats
 from tallywire.llm.run_index import remove_repeated_bytes
-from tallywire.llm.toxicity import THRESHOLD, fit_grammar, score_toxicity
+from tallywire.llm.toxicity import THRESHOLD, score_toxicity
 from tallywire.llm.warc import read_warc, with_revisits, write_warc
 from tallywire.session import pin_utc
 from tallywire.storage import scratch_path
@@ -30,10 +33,6 @@ def query(build: Query) -> Query:
     return build
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 @query
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     match = F.col("match")
@@ -122,17 +121,6 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f"""
 
 
-def fold(id_col: str, parts: int):
-    """crc32 of an id as text, modulo ``parts``."""
-    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(parts))
-
-
-def fitted_grammar(spark: SparkSession, sf_dir: str):
-    """The toxicity grammar, from the labels outside the held-out fold."""
-    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 3) != 1)
-    return fit_grammar(table(spark, sf_dir, "documents"), labels.select("doc_id", "toxic"))
-
-
 @query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -142,19 +130,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         score.alias("score"), (score >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def vocabulary() -> str:
-    """The tokenizer file of the packing query, where it is installed."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pack(documents, vocabulary()).select(
-        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("length"),
-        F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return with_digests(pack(documents, vocabulary())).drop("ids")
 
 
 @query
@@ -212,3 +191,14 @@ r AS (SELECT doc_id, doc_id AS o FROM d UNION SELECT r.doc_id, e.y FROM r JOIN e
 m AS (SELECT doc_id, min(o) AS component_id FROM r GROUP BY doc_id)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM m LEFT JOIN n USING (doc_id)"""
+
+
+@query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_documents(documents, fold("doc_id", 10) == 0).withColumnRenamed("id", "doc_id")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
