@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallywire.llm.decontaminate import decontaminate
 from tallywire.llm.exact_dedup import drop_exact_duplicates
@@ -39,8 +40,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the benchmark's passages."""
-    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    """Texts without the benchmark's passages, and their new lengths."""
+    rest = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return rest.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
