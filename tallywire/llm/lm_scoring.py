@@ -157,6 +157,24 @@ def _log_softmax(weights: np.ndarray, prior: np.ndarray, features: np.ndarray) -
     return scores
 
 
+def _group_sums(values: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Sums of the rows from each head to the next.
+
+    Adds the groups' first rows, then their second ones, and so on: for many small groups of
+    short rows that takes a third of the time of ``np.add.reduceat``.
+    """
+    counts = np.diff(np.append(heads, len(values)))
+    sums, place = values[heads], 1
+    live = np.flatnonzero(counts > 1)
+    while len(live) >= 8:
+        sums[live] += values[heads[live] + place]
+        place += 1
+        live = live[counts[live] > place]
+    for group in live.tolist():
+        sums[group] += values[heads[group] + place:heads[group] + counts[group]].sum(axis=0)
+    return sums
+
+
 class Trainer:
     """Gradient steps over batches of tokens, each scaled by what its weight has seen so far."""
 
@@ -172,7 +190,7 @@ class Trainer:
             order = np.argsort(features[kind], kind="stable")
             own = features[kind][order]
             heads = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-            sums, rows = np.add.reduceat(gradient[order], heads), own[heads]
+            sums, rows = _group_sums(gradient[order], heads), own[heads]
             seen = self.seen[rows] + sums * sums
             self.seen[rows] = seen
             self.weights[rows] += RATE * sums / np.sqrt(seen)
