@@ -116,6 +116,17 @@ class Vocabulary:
         return np.log(share / share.sum()).astype(np.float32)
 
 
+def pack_numbers(numbers: np.ndarray) -> bytes:
+    """32-bit numbers, compressed plane by plane of their bytes: the upper ones are mostly alike."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return pa.Codec("zstd", compression_level=3).compress(planes.tobytes(), asbytes=True)
+
+
+def unpack_numbers(packed: bytes, n: int) -> np.ndarray:
+    planes = pa.decompress(packed, 4 * n, codec="zstd", asbytes=True)
+    return np.frombuffer(planes, np.uint8).reshape(4, n).T.copy().view("<u4").ravel().astype(np.int32)
+
+
 class Coded:
     """A chunk with what the totals say of its tokens."""
 
@@ -125,14 +136,13 @@ class Coded:
         shape = np.frombuffer(row["lows"], np.uint8)
         self.count, _ = answers(replies, 1)
         own = vocabulary.classes[cell(self.count, shape)].astype(np.int32)
-        self.token = np.frombuffer(pa.decompress(
-            row["texts"], 4 * int(self.rows[-1]), codec="zstd", asbytes=True), np.int32)
+        self.token = unpack_numbers(row["texts"], int(self.rows[-1]))
         self.classes = own[self.token]
-        keys = np.frombuffer(row["keys"], np.uint32)
         # Before a text there is a start, which has a number and a class of its own.
-        numbers = np.append(keys % BUCKETS, int(_START) % BUCKETS).astype(np.int32)
+        numbers = np.append(np.frombuffer(row["keys"], np.uint16), int(_START) % BUCKETS
+                            ).astype(np.int32)
         classes = np.append(own, CLASSES)
-        one, two = self._before(1, len(keys)), self._before(2, len(keys))
+        one, two = self._before(1, len(own)), self._before(2, len(own))
         pairs = classes[one] * (CLASSES + 1) + classes[two]
         self.features = np.stack([numbers[one], numbers[two] + BUCKETS,
                                   pairs % BUCKETS + 2 * BUCKETS])
@@ -214,11 +224,10 @@ def _encoded(docs: DataFrame, bits: int, chunk_bytes: int) -> DataFrame:
             learned = np.repeat(~held, np.diff(rows))
             counts = np.bincount(number[learned], minlength=len(firsts))
             keys, shapes = hashes[order[firsts]], shapes[order[firsts]]
-            packed = pa.compress(number.astype(np.int32).tobytes(), codec="zstd", asbytes=True)
             yield batch_of([
                 {"chunk": chunk, "bucket": -1, "ids": batch.column(0).to_pylist(),
-                 "offsets": rows.astype(np.int64).tobytes(), "texts": packed,
-                 "keys": keys.astype(np.uint32).tobytes(), "counts": held.tobytes(),
+                 "offsets": rows.astype(np.int64).tobytes(), "texts": pack_numbers(number),
+                 "keys": (keys % np.uint64(BUCKETS)).astype(np.uint16).tobytes(), "counts": held.tobytes(),
                  "lows": shapes.tobytes()},
                 *questions(chunk, keys, counts, shapes.astype(np.int64), bits)], CHUNK_SCHEMA)
 
