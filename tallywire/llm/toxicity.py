@@ -199,6 +199,8 @@ def _grammar(lexicon: dict[int, tuple[int, float]], scale) -> Grammar:
 
 # Scale of a grammar that has seen no labels of both kinds.
 UNFITTED = (-4.0, 1.5, 1.0)
+# How strongly a fit is drawn to it.
+PULL = 2.0
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,16 +282,26 @@ def _learned(toxic: DataFrame, clean: DataFrame, n_toxic: int, n_clean: int
 
 
 def _scaled(top: np.ndarray, total: np.ndarray, label: np.ndarray) -> tuple[float, float, float]:
-    """Logistic regression of the label on the two sums, by Newton's method, slightly ridged."""
+    """Logistic regression of the label on the two sums, by Newton's method.
+
+    Drawn towards ``UNFITTED``, so that few or noisy labels do not undo the known words.
+    """
     x = np.stack([np.ones(len(top)), top, np.log1p(total)], 1)
-    w = np.zeros(3)
-    ridge = np.diag([1e-3, 1e-2, 1e-2])
-    for _ in range(50):
+    start = np.array(UNFITTED)
+    w, ridge = start.copy(), np.diag([PULL] * 3)
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(np.sum(np.logaddexp(0, z) - label * z) + (w - start) @ ridge @ (w - start) / 2)
+
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - label) + ridge @ w
+        gradient = x.T @ (p - label) + ridge @ (w - start)
         hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge
-        step = np.linalg.solve(hessian, gradient)
-        w -= step
+        step, now = np.linalg.solve(hessian, gradient), loss(w)
+        while loss(w - step) > now and np.abs(step).max() > 1e-9:
+            step /= 2
+        w = w - step
         if np.abs(step).max() < 1e-6:
             break
     return tuple(float(v) for v in w)
