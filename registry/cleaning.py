@@ -10,7 +10,9 @@ from registry.inputs import (
     clean_articles, messages, poll_responses, raw_articles, table,
 )
 from tallywire.functions.event_time import parse_published_at, without_zone
-from tallywire.functions.json_codec import as_json, decode_messages, message_text
+from tallywire.functions.json_codec import (
+    as_json, decode_messages, decode_poll_responses, message_text, rejected_responses,
+)
 from tallywire.operators.clean import (
     drop_placeholders, equals, flatten_article, in_list, keyword_match, pack_source,
     project_fields, with_event_time,
@@ -21,6 +23,15 @@ from tallywire.operators.windowed import with_window_bounds
 from tallywire.plans.counting import author_counts, source_counts
 from tallywire.plans.ingest import messages_from_responses
 
+@query("poll_rejects", f"""
+SELECT count(*) FILTER (event_id // 500 % 7 <> 0) AS n_articles,
+  count(DISTINCT event_id // 500) FILTER (event_id // 500 % 7 = 0) AS n_rejected FROM events""")
+def _(spark, sf):
+    responses = poll_responses(spark, sf, refused=7)
+    articles = decode_poll_responses(responses).agg(F.count("*").alias("n_articles"))
+    return articles.join(rejected_responses(responses).agg(F.count("*").alias("n_rejected")))
+
+
 _DOCUMENT = ("doc_id", "lang", "source", "n_chars")
 
 

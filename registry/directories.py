@@ -46,3 +46,31 @@ def _(spark, sf):
     )
     path = written(lines, "damaged-sink", "text")
     return with_window_bounds(json_directory(spark, path, AUTHOR_COUNTS, pattern="*.txt"))
+
+
+@query("json_mixed_types", f"""
+WITH {COUNTS}, kept AS (
+  SELECT * FROM by_author WHERE minute(window_start) % 15 = 0 AND author IS NOT NULL)
+SELECT count(*) AS n_lines, CAST(sum(article_count_by_author) AS BIGINT) AS n_articles,
+  count(DISTINCT window_start) AS n_windows, count(DISTINCT author) AS n_authors FROM kept""")
+def _(spark, sf):
+    # Some lines have a text for the count, some for the window; each figure needs other columns.
+    counts = author_counts(messages(spark, sf)).where("author is not null")
+    minute = F.minute("window.start") % 15
+    text = F.to_json(F.struct("author", "window", F.lit("many").alias("article_count_by_author")))
+    flat = F.to_json(F.struct("author", F.lit("noon").alias("window"), "article_count_by_author"))
+    lines = counts.select(F.when(minute == 5, text).when(minute == 10, flat).otherwise(
+        F.to_json(F.struct("author", "window", "article_count_by_author"))).alias("value"))
+    path = written(lines, "mixed-types", "text")
+
+    def read():
+        return json_directory(spark, path, AUTHOR_COUNTS, pattern="*.txt")
+
+    figures = [read().agg(F.count("*").alias("n_lines")),
+               read().agg(F.sum("article_count_by_author").alias("n_articles")),
+               read().agg(F.count_distinct("window.start").alias("n_windows")),
+               read().agg(F.count_distinct("author").alias("n_authors"))]
+    first, *others = figures
+    for other in others:
+        first = first.join(other)
+    return first

@@ -13,7 +13,7 @@ from tallywire.functions.event_time import PUBLISHED_AT_FORMAT
 from tallywire.functions.json_codec import encode_articles
 from tallywire.operators.clean import drop_placeholders
 from tallywire.schemas import ARTICLE
-from tallywire.sources.tables import read_table, spread
+from tallywire.sources.tables import read_table
 from tallywire.storage import scratch_path
 
 ARTICLES_PER_RESPONSE = 500
@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id`` and the eight article fields, before cleaning."""
     event, user = F.col("event_id"), F.col("user_id")
-    return spread(table(spark, sf_dir, "events")).select(
+    return table(spark, sf_dir, "events").select(
         event,
         F.when(user % 17 == 0, None).when(user % 23 == 0, "[Removed]")
         .otherwise(F.concat(F.lit("author_"), user.cast("string"))).alias("author"),
@@ -51,15 +51,20 @@ def messages(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
     return encode_articles(clean_articles(spark, sf_dir), keep)
 
 
-def poll_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Uncleaned articles as responses of at most 500 each, one JSON text per row."""
+def poll_responses(spark: SparkSession, sf_dir: str, refused: int = 0) -> DataFrame:
+    """Uncleaned articles as responses of at most 500 each, one JSON text per row.
+
+    With ``refused``, every poll whose number it divides got an error instead.
+    """
     articles = raw_articles(spark, sf_dir)
     grouped = articles.groupBy(
         F.expr(f"event_id div {ARTICLES_PER_RESPONSE}").alias("poll")
     ).agg(F.collect_list(F.struct(*ARTICLE.names)).alias("articles"))
-    return grouped.select(
-        F.to_json(F.struct("articles"), {"ignoreNullFields": "false"}).alias("value")
-    )
+    value = F.to_json(F.struct("articles"), {"ignoreNullFields": "false"})
+    if refused:
+        value = F.when(F.col("poll") % refused == 0, '{"status":"error","code":"rateLimited"}'
+                       ).otherwise(value)
+    return grouped.select(value.alias("value"))
 
 
 def written(df: DataFrame, label: str, fmt: str = "parquet") -> str:

@@ -15,7 +15,6 @@ from tallywire.operators.embed import embed_corpus
 from tallywire.operators.nearest import nearest, vector_table
 from tallywire.plans.answers import QUESTIONS, answer, attach_documents
 from tallywire.plans.counting import author_counts, source_counts
-from tallywire.sources.tables import spread
 
 # The questions: the mean vector of every label.
 _MEANS = """means AS (
@@ -26,15 +25,24 @@ _MEANS = """means AS (
     GROUP BY label, i)
   GROUP BY label)"""
 
-_HITS = f"""{_MEANS}, ranked AS (
+def _hits_sql(corpus: str) -> str:
+    return f"""{_MEANS}, ranked AS (
   SELECT label, vec_id, distance,
          row_number() OVER (PARTITION BY label ORDER BY distance, vec_id) AS rank
   FROM (SELECT m.label, e.vec_id,
                round(list_distance(m.embedding, CAST(e.embedding AS DOUBLE[])), 6) AS distance
-        FROM means m, embeddings e)),
+        FROM means m, {corpus} e)),
 hits AS (SELECT * FROM ranked WHERE rank <= 4)"""
 
 
+_HITS = _hits_sql("embeddings")
+# The corpus with a NaN in some vectors and an infinity in others.
+_DAMAGED = _hits_sql("""(SELECT vec_id, CASE
+  WHEN vec_id % 97 = 0 THEN list_concat([CAST('nan' AS FLOAT)], embedding[2:])
+  WHEN vec_id % 89 = 0 THEN list_concat([CAST('inf' AS FLOAT)], embedding[2:])
+  ELSE embedding END AS embedding FROM embeddings)""")
+
+
 def _label_means(spark: SparkSession, sf: str) -> DataFrame:
     vectors = table(spark, sf, "embeddings").select(
         "label", array_to_vector("embedding").alias("vector")
@@ -105,6 +113,27 @@ def _(spark, sf):
     return _hits(spark, sf, block_bytes=6 * 64 * 8)
 
 
+def _damaged_hits(spark: SparkSession, sf: str, **options) -> DataFrame:
+    first = F.when(F.col("vec_id") % 97 == 0, float("nan")).when(
+        F.col("vec_id") % 89 == 0, float("inf")).otherwise(F.col("embedding")[0]).cast("float")
+    corpus = table(spark, sf, "embeddings").withColumn(
+        "embedding", F.concat(F.array(first), F.slice("embedding", 2, F.size("embedding"))))
+    return nearest(_label_means(spark, sf), corpus, question_id="label", corpus_id="vec_id",
+                   **options)
+
+
+@query("knn_damaged_vectors",
+       f"WITH {_DAMAGED} SELECT label, vec_id, distance, CAST(rank AS INTEGER) AS rank FROM hits")
+def _(spark, sf):
+    return _damaged_hits(spark, sf)
+
+
+@query("knn_damaged_vectors_blocks",
+       f"WITH {_DAMAGED} SELECT label, vec_id, distance, CAST(rank AS INTEGER) AS rank FROM hits")
+def _(spark, sf):
+    return _damaged_hits(spark, sf, block_bytes=6 * 64 * 8)
+
+
 @query("stuff_context", f"""
 WITH {_HITS}
 SELECT label, count(*) AS n_documents,
@@ -125,7 +154,7 @@ idf AS ({idf("documents", "counts")}),
 vectors AS ({weighted("counts", "idf", "doc_id")})
 SELECT doc_id, bucket AS dimension, round(weight, 6) AS weight FROM vectors WHERE weight <> 0""")
 def embed_documents(spark, sf):
-    documents = spread(table(spark, sf, "documents").select("doc_id", "text"))
+    documents = table(spark, sf, "documents").select("doc_id", "text")
     _, vectors = embed_corpus(documents, "text")
     parts = vectors.select("doc_id", F.posexplode("embedding").alias("dimension", "part"))
     return parts.where("part <> 0").select(

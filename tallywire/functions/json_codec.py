@@ -31,11 +31,18 @@ def decode_messages(
 
 
 def decode_poll_responses(responses: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """One row per article of every poll response; unreadable responses give none."""
+    """One row per article of every poll response; ``rejected_responses`` has those without."""
     decoded = F.from_json(message_text(), POLL_RESPONSE)
     return responses.select(*keep, F.inline(decoded["articles"]))
 
 
+def rejected_responses(responses: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Responses without a list of articles, as text: errors of the service, broken JSON."""
+    decoded = F.from_json(message_text(), POLL_RESPONSE)
+    return responses.where(decoded["articles"].isNull()).select(
+        *keep, message_text().alias("value"))
+
+
 def as_json(*columns: Column | str) -> Column:
     """JSON text of a row, null fields written out."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})

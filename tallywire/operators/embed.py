@@ -79,9 +79,10 @@ def embed_with_model(
     """Vectors from a model of the caller's.
 
     ``make_predict`` runs once per Python worker, loads the model there and returns
-    a function from a batch of texts to a matrix with one row per text.
+    a function from a batch of texts to a matrix with one row per text. A null text is
+    an empty one. Later filters on the vector do not make the model run again.
     """
     predict = predict_batch_udf(
         make_predict, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size
     )
-    return df.withColumn(output, predict(F.col(text)))
+    return df.withColumn(output, predict.asNondeterministic()(F.coalesce(F.col(text), F.lit(""))))

@@ -42,7 +42,10 @@ def nearest(
 ) -> DataFrame:
     """The ``k`` corpus rows closest to each question: question, row, distance, rank.
 
-    Question ids must be unique. The corpus stays where it is: each task holds a
+    Question ids must be unique, and question vectors finite and of one width, which corpus
+    vectors must share; anything else raises, whatever the sizes. A corpus vector with a
+    NaN, an infinity or a null element (taken as NaN) has that distance, and comes after all
+    finite ones; corpus rows without an id or a vector are left out. The corpus stays where it is: each task holds a
     block of question vectors, runs once over its own rows and keeps k per question,
     so no (question, row) pair is ever a Spark row and only k rows per task and
     question are shuffled. The block is broadcast, so its size is measured first;
@@ -51,7 +54,8 @@ def nearest(
     """
     spark = corpus.sparkSession
     asked = questions.where(F.col(vector).isNotNull()).select(question_id, vector)
-    searched = corpus.where(F.col(vector).isNotNull()).select(corpus_id, vector)
+    searched = corpus.where(F.col(vector).isNotNull() & F.col(corpus_id).isNotNull()).select(
+        corpus_id, vector)
     output = T.StructType([
         T.StructField(question_id, asked.schema[question_id].dataType),
         T.StructField(corpus_id, searched.schema[corpus_id].dataType),
@@ -60,12 +64,18 @@ def nearest(
 
     asked = materialize(asked, "questions")
     width, id_bytes = F.size(vector), F.octet_length(F.col(question_id).cast("string"))
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x)
+                      & (F.abs(x.cast("double")) < float("inf")))
     size = asked.agg(
-        F.count("*").alias("n"), F.min(width).alias("narrow"), F.max(width).alias("wide"),
+        F.count("*").alias("n"), F.count_if(~finite).alias("unusable"), F.min(width).alias("narrow"), F.max(width).alias("wide"),
         F.max(id_bytes).alias("id_bytes"),
     ).first()
     if size["narrow"] != size["wide"]:
         raise ValueError(f"question vectors have {size['narrow']} to {size['wide']} numbers")
+    if size["unusable"]:
+        raise ValueError(f"{size['unusable']} question vectors hold NaN, infinity or null")
+    if not asked.groupBy(question_id).count().where("count > 1").isEmpty():
+        raise ValueError(f"{question_id} is not unique")
     row_bytes = 8 * (size["wide"] or 0) + (size["id_bytes"] or 0) + 1
     per_block = max(1, block_bytes // row_bytes)
 
@@ -135,12 +145,30 @@ def _search(shared: Broadcast, corpus: DataFrame, output: T.StructType, k: int)
         # Bound on the relative error of a squared distance taken from products.
         unsure = 4 * (q.shape[1] + 8) * np.finfo(np.float64).eps
 
+        def keep_far(ids, x) -> None:
+            """Rows at no finite distance; only questions short of k keep them."""
+            nan = np.isnan(x).any(axis=1)
+            order = np.lexsort((ids, nan))[:k]
+            fresh = [(float("nan") if nan[i] else float("inf"), ids[i]) for i in order]
+            far[:] = sorted(far + fresh, key=lambda hit: (hit[0] != hit[0], hit[1]))[:k]
+
+        far: list[tuple] = []
         for batch in batches:
             if batch.num_rows == 0:
                 continue
+            widths = np.unique(batch.column(1).value_lengths().to_numpy(zero_copy_only=False))
+            if widths.tolist() != [q.shape[1]]:
+                raise ValueError(f"corpus vectors have {widths.min()} to {widths.max()} numbers, "
+                                 f"question vectors {q.shape[1]}")
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
             x = flat.astype(np.float64).reshape(len(ids), q.shape[1])
+            finite = np.isfinite(x).all(axis=1)
+            if not finite.all():
+                keep_far(ids[~finite], x[~finite])
+                ids, x = ids[finite], x[finite]
+                if not len(ids):
+                    continue
             x_norm = (x * x).sum(axis=1)
             error = unsure * (q_norm + x_norm.max())
             step = max(1, (4 << 20) // len(ids))
@@ -165,6 +193,8 @@ def _search(shared: Broadcast, corpus: DataFrame, output: T.StructType, k: int)
                     if len(best[at]) == k:
                         reach[at] = best[at][-1][0]
 
+        for at in range(len(asked_ids) if far else 0):
+            best[at] = best[at] + far[:k - len(best[at])]
         for start in range(0, len(asked_ids), 4096):
             hits = [
                 (asked_ids[at], row_id, distance)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallywire.operators.documents import key_documents, stuff_context
 from tallywire.operators.embed import DEFAULT_DIMENSIONS, embed_corpus, embed_with_model
-from tallywire.operators.nearest import DEFAULT_K, nearest
+from tallywire.operators.nearest import DEFAULT_K, nearest, vector_table
 from tallywire.operators.rollups import top_total, total_per_key
 from tallywire.storage import materialize
 
@@ -54,7 +54,9 @@ def retrieve(
         embedder, corpus = embed_corpus(documents, text, dimensions)
         asked = embedder.embed(questions, question)
     else:
-        corpus = embed_with_model(documents, text, make_predict)
+        # Written once: the search goes through the vectors for every block of questions.
+        corpus = materialize(vector_table(embed_with_model(documents, text, make_predict),
+                                          document_id, "embedding"), "vectors")
         asked = embed_with_model(questions, question, make_predict)
     hits = nearest(asked, corpus, question_id=question_id, corpus_id=document_id, k=k)
     return stuff_context(attach_documents(hits, documents, document_id), question_id, text)

@@ -8,6 +8,7 @@ A directory with one folder per batch reads like one without.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -25,13 +26,19 @@ def json_directory(
 ) -> DataFrame:
     """JSON lines of the files matching ``pattern``.
 
-    With ``skip_malformed`` a broken line is left out; the rest of its file is kept.
+    With ``skip_malformed`` a line that is no object, or in which any field is of another
+    type, is left out, whichever columns are used later; otherwise its fields are null
+    where they can't be read. The rest of its file is kept either way, and blank lines are
+    no lines. Lines are decoded here and not by the JSON reader, which looks only at the
+    columns a query needs and so would keep different lines for different queries.
     """
-    mode = "DROPMALFORMED" if skip_malformed else "PERMISSIVE"
-    files = (
-        spark.read.schema(schema)
-        .option("pathGlobFilter", pattern)
-        .option("mode", mode)
-        .json(path)
-    )
-    return files.select(*schema.names)
+    lines = spark.read.option("pathGlobFilter", pattern).text(path)
+    broken = "_broken"
+    while broken in schema.names:
+        broken = f"_{broken}"
+    decoded = F.from_json("value", T.StructType([*schema.fields, T.StructField(broken, T.StringType())]),
+                          {"columnNameOfCorruptRecord": broken})
+    rows = lines.where(F.trim("value") != "").select(F.inline(F.array(decoded)))
+    if skip_malformed:
+        rows = rows.where(F.col(broken).isNull())
+    return rows.select(*schema.names)

@@ -7,14 +7,3 @@ from pyspark.sql import DataFrame, SparkSession
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small scan out over all cores.
-
-    A table in one unsplittable file is read by one task, and costly work on its
-    rows would stay in that task. A scan with at least as many partitions as cores,
-    as any large table has, is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -46,8 +46,11 @@ def snapshot_sink(
 
 
 def latest_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The newest refresh; its folder is found from partition values alone."""
-    stored = T.StructType([*schema.fields, T.StructField("refresh", T.LongType())])
-    snapshots = spark.read.schema(stored).parquet(path)
-    newest = snapshots.agg(F.max("refresh")).first()[0]
-    return snapshots.where(F.col("refresh") == newest).drop("refresh")
+    """The newest refresh that was written to its end; nothing if there is none yet."""
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/refresh=*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks) or []
+    folders = [mark.getPath().getParent() for mark in found]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    newest = max(folders, key=lambda folder: int(folder.getName().removeprefix("refresh=")))
+    return spark.read.schema(schema).parquet(newest.toString())

@@ -40,17 +40,32 @@ def kafka_sink(messages: DataFrame, servers: str, topic: str, checkpoint: str) -
     )
 
 
-def run_available(writer: DataStreamWriter) -> StreamingQuery:
-    """Process everything there is, then stop."""
-    query = writer.trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
+class LateRows:
+    """Aggregated rows that batches dropped for being behind the watermark.
 
+    A query remembers its last hundred batches only; ``see`` adds up what it has not seen
+    yet, so call it more often than once in so many batches.
+    """
 
-def rows_dropped_as_late(query: StreamingQuery) -> int:
-    """Aggregated rows the recent batches dropped for being behind the watermark."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+    def __init__(self):
+        self._by_batch: dict[tuple[str, int], int] = {}
+
+    def see(self, query: StreamingQuery) -> None:
+        for progress in query.recentProgress:
+            self._by_batch[(progress["runId"], progress["batchId"])] = sum(
+                operator["numRowsDroppedByWatermark"] for operator in progress["stateOperators"])
+
+    def total(self) -> int:
+        return sum(self._by_batch.values())
+
+
+def run_available(writer: DataStreamWriter, late: LateRows | None = None) -> StreamingQuery:
+    """Process everything there is, then stop; ``late`` gets the rows dropped on the way."""
+    query = writer.trigger(availableNow=True).start()
+    if late is None:
+        query.awaitTermination()
+        return query
+    while not query.awaitTermination(0.2):
+        late.see(query)
+    late.see(query)
+    return query

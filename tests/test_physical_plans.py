@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from registry import QUERIES
 from registry.inputs import messages, written
 from tallywire.operators.clean import equals, in_list, keyword_match
 from tallywire.operators.nearest import nearest
@@ -40,6 +41,10 @@ def test_counts_are_combined_before_their_one_shuffle(sent):
     assert re.search(r"Exchange.*\n.*HashAggregate\(.*partial_count", text)
 
 
+def test_a_registered_count_has_one_shuffle(spark, small):
+    assert plan(QUERIES["windowed_count_by_source"](spark, small)).count("Exchange") == 1
+
+
 def test_decoding_needs_no_shuffle_and_no_python(sent):
     text = plan(articles_from_messages(sent))
     assert "Exchange" not in text and "Python" not in text

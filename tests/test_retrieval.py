@@ -105,6 +105,30 @@ def test_repeated_question_ids_are_refused_when_they_cannot_be_split(spark, vect
         nearest(q, c, question_id="qid", corpus_id="cid", block_bytes=5 * 8 * 8)
 
 
+@pytest.mark.parametrize("block_bytes", [16 << 20, 5 * 8 * 8])
+def test_any_input_has_one_outcome_whatever_the_block_size(spark, vectors, block_bytes):
+    questions, corpus = vectors
+
+    def ask(q, c, k=4):
+        return nearest(*frames(spark, q, c), question_id="qid", corpus_id="cid", k=k,
+                       block_bytes=block_bytes)
+
+    with pytest.raises(ValueError, match="not unique"):
+        ask([*questions, questions[0]], corpus).count()
+    with pytest.raises(ValueError, match="NaN, infinity or null"):
+        ask([*questions, (1, [math.nan] * 8)], corpus).count()
+    with pytest.raises(Exception, match="corpus vectors have"):
+        ask(questions, [*corpus, (9000, [1.0] * 7), (9001, [1.0] * 9)]).count()
+    lost = [(9000 + i, [x] + [0.0] * 7) for i, x in enumerate([math.nan, math.inf, None])]
+    whole = ask(questions, [*corpus, (None, [0.0] * 8), *lost])
+    assert rows_of(whole) == brute_force(questions, corpus, 4)
+    few = ask(questions, [*lost, *corpus[1:3]])
+    for row in few.collect():
+        assert (row.cid in (9000, 9001, 9002)) == (row["rank"] > 2)
+        if row["rank"] > 2:
+            assert (row["rank"], row.cid) in {(3, 9001), (4, 9000)}
+
+
 def test_vector_table_leaves_out_null_vectors(spark):
     df = spark.sql("select * from values (1, array(1d, 2d)), (2, null) as t(id, v)")
     table = vector_table(df, "id", "v")
@@ -153,9 +177,13 @@ def test_own_model(spark):
     assert got == {"banana": [6.0, 3.0], "xyz": [3.0, 0.0]}
 
 
-def test_retrieval_with_own_model(spark):
+def test_retrieval_with_own_model(spark, tmp_path):
+    seen = str(tmp_path / "seen")
+
     def make_predict():
         def predict(texts):
+            with open(seen, "a") as file:
+                file.writelines("x\n" for _ in texts)
             return np.array([[len(t), t.count("?")] for t in texts], dtype=np.float32)
 
         return predict
@@ -168,6 +196,8 @@ def test_retrieval_with_own_model(spark):
                    make_predict=make_predict)
     assert {r.q: r.context for r in got.collect()} == {
         1: "xxxx\n\nxxx", 2: "x" * 22 + "\n\n" + "x" * 21}
+    with open(seen) as file:
+        assert len(file.readlines()) == 30 + 2
 
 
 def test_context_is_in_rank_order_with_blank_lines(spark):

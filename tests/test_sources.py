@@ -49,6 +49,18 @@ def test_json_files_of_no_one_and_many_lines(spark, tmp_path):
     assert json_directory(spark, str(tmp_path), AUTHOR_COUNTS, pattern="*.txt").count() == 1
 
 
+def test_the_same_lines_are_kept_whatever_is_asked_of_them(spark, tmp_path):
+    text = LINE.replace('"article_count_by_author": 2', '"article_count_by_author": "two"')
+    flat = LINE.replace(LINE[LINE.index('"window": {'):LINE.index("}") + 1], '"window": "noon"')
+    assert flat != LINE != text
+    (tmp_path / "a.json").write_text("\n".join([LINE, text, flat, "  "]))
+    for skip, n in ((True, 1), (False, 3)):
+        df = json_directory(spark, str(tmp_path), AUTHOR_COUNTS, skip_malformed=skip)
+        assert df.count() == len(df.collect()) == len(df.select("author").collect()) == n
+        assert df.groupBy().sum("article_count_by_author").first()[0] in (2, 4)
+        assert df.where("window.start is not null").count() <= n
+
+
 def test_broken_lines_can_be_kept_as_nulls(spark, tmp_path):
     (tmp_path / "a.json").write_text(LINE + "\nbroken\n")
     df = json_directory(spark, str(tmp_path), AUTHOR_COUNTS, skip_malformed=False)

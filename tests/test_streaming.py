@@ -16,7 +16,7 @@ from tallywire.sources.directories import json_directory, parquet_directory
 from tallywire.streaming.fanout import console_target, directory_target, fan_out
 from tallywire.streaming.refresh import REFRESH_INTERVAL, latest_snapshot
 from tallywire.streaming.sinks import (
-    console_sink, json_sink, kafka_sink, parquet_sink, rows_dropped_as_late, run_available,
+    console_sink, json_sink, kafka_sink, parquet_sink, LateRows, run_available,
 )
 
 
@@ -61,12 +61,29 @@ def folders(tmp_path):
 def test_late_rows_are_dropped(spark, folders):
     source, out, checkpoint = folders
     land(source, [[at(1)], [at(40)], [at(50)], [at(2)], [at(59)]])
-    query = run(spark, parquet_sink(source_counts(messages(spark, source)), out, checkpoint))
+    late = LateRows()
+    with stateful(spark, 2):
+        query = run_available(
+            parquet_sink(source_counts(messages(spark, source)), out, checkpoint), late)
     assert by_source(spark, out) == [("10:00", "cnn", 1), ("10:40", "cnn", 1)]
-    assert rows_dropped_as_late(query) == 1
+    assert late.total() == 1
     assert query.lastProgress["stateOperators"][0]["numShufflePartitions"] == 2
 
 
+def test_late_rows_are_counted_beyond_what_a_query_remembers(spark, folders):
+    source, out, checkpoint = folders
+    land(source, [[at(1)], [at(40)], [at(50)], *([[at(2)]] * 9)])
+    late, key = LateRows(), "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, 5)
+    try:
+        with stateful(spark, 2):
+            query = run_available(
+                parquet_sink(source_counts(messages(spark, source)), out, checkpoint), late)
+    finally:
+        spark.conf.unset(key)
+    assert len(query.recentProgress) <= 5 and late.total() == 9
+
+
 def test_lateness_is_judged_by_the_previous_batch(spark, folders):
     source, out, checkpoint = folders
     land(source, [
@@ -162,6 +179,12 @@ def test_refresh_follows_a_growing_sink(spark, folders, tmp_path):
     run(spark, parquet_sink(source_counts(messages(spark, source)), out, checkpoint))
     assert refreshed() == [("bbc", 1), ("cnn", 3)]
     assert sorted(os.listdir(snapshots)) == ["refresh=1", "refresh=2"]
+    # A refresh that was broken off is not served.
+    spark.range(1).selectExpr("'half' source_id", "id n_windows").write.parquet(
+        f"{snapshots}/refresh=9")
+    os.remove(f"{snapshots}/refresh=9/_SUCCESS")
+    assert latest_snapshot(spark, snapshots, shape).count() == 2
+    assert latest_snapshot(spark, str(tmp_path / "none"), shape).count() == 0
     assert REFRESH_INTERVAL == "2 minutes"
 
 
