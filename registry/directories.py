@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from registry import query
 from registry.inputs import COUNTS, messages, written
 from tallywire.operators.windowed import with_window_bounds
+from tallywire.plans.compaction import compact
 from tallywire.plans.counting import author_counts, source_counts
 from tallywire.schemas import AUTHOR_COUNTS, SOURCE_COUNTS
 from tallywire.sources.directories import json_directory, parquet_directory
+from tallywire.storage import scratch_path
 
 _BY_AUTHOR = f"""
 WITH {COUNTS} SELECT author, window_start, window_end, article_count_by_author FROM by_author"""
@@ -22,6 +24,16 @@ def _(spark, sf):
     return with_window_bounds(parquet_directory(spark, path, SOURCE_COUNTS))
 
 
+@query("compacted_sink", f"""
+WITH {COUNTS} SELECT window_start, window_end, source_id, article_count FROM by_source""")
+def _(spark, sf):
+    # A second run replaces the days it finds.
+    path, days = written(source_counts(messages(spark, sf)), "parquet-sink"), scratch_path(spark, "days")
+    for _ in range(2):
+        compact(parquet_directory(spark, path, SOURCE_COUNTS), days)
+    return with_window_bounds(parquet_directory(spark, days, SOURCE_COUNTS))
+
+
 @query("json_dir_scan", _BY_AUTHOR)
 def _(spark, sf):
     path = written(author_counts(messages(spark, sf)), "json-sink", "json")

@@ -13,8 +13,11 @@ from registry.text_sql import bucketed, idf, split_words, weighted
 from tallywire.operators.documents import stuff_context
 from tallywire.operators.embed import embed_corpus
 from tallywire.operators.nearest import nearest, vector_table
-from tallywire.plans.answers import QUESTIONS, answer, attach_documents
+from tallywire.operators.rollups import total_per_key
+from tallywire.plans.answers import QUESTIONS, answer, totals_store
 from tallywire.plans.counting import author_counts, source_counts
+from tallywire.plans.store import attach_documents
+from tallywire.storage import scratch_path
 
 # The questions: the mean vector of every label.
 _MEANS = """means AS (
@@ -56,8 +59,10 @@ def _hits(spark: SparkSession, sf: str, **options) -> DataFrame:
                    question_id="label", corpus_id="vec_id", **options)
 
 
-def _answer_sql(p: str, key: str, title: str, table: str, count: str) -> str:
-    """CTEs, prefixed with ``p``, ending in the context for the question about ``key``."""
+def _answer_sql(p: str, key: str, title: str, table: str, count: str,
+                asked: str | None = None) -> str:
+    """CTEs, prefixed with ``p``, ending in the context for the question ``asked``, or ``key``'s."""
+    asked = asked or key
     documents_counts = f"(SELECT * FROM {p}counts WHERE is_document)"
     return f"""
 {p}documents AS (
@@ -66,7 +71,7 @@ def _answer_sql(p: str, key: str, title: str, table: str, count: str) -> str:
   FROM {table} WHERE {key} IS NOT NULL GROUP BY {key}),
 {p}texts AS (
   SELECT id, text, true AS is_document FROM {p}documents
-  UNION ALL SELECT question_id, question, false FROM questions WHERE question_id = '{key}'),
+  UNION ALL SELECT question_id, question, false FROM questions WHERE question_id = '{asked}'),
 {p}words AS ({split_words(f"{p}texts", "id, is_document", "text")}),
 {bucketed(f"{p}words", p)},
 {p}counts AS (
@@ -82,7 +87,7 @@ def _answer_sql(p: str, key: str, title: str, table: str, count: str) -> str:
   LEFT JOIN {p}vectors q ON NOT q.is_document AND q.bucket = i.bucket
   GROUP BY d.id, d.text),
 {p}context AS (
-  SELECT '{key}' AS question_id, count(*) AS n_documents,
+  SELECT '{asked}' AS question_id, count(*) AS n_documents,
          string_agg(text, chr(10) || chr(10) ORDER BY rank) AS context
   FROM {p}ranked WHERE rank <= 4)"""
 
@@ -176,3 +181,27 @@ def _(spark, sf):
     by_source, _ = answer(source_counts(sent), "source_id", "article_count")
     by_author, _ = answer(author_counts(sent), "author", "article_count_by_author")
     return by_source.unionByName(by_author)
+
+
+_ASKED = {"seven": "Author with Number of articles: 7", "named": "Author: author_42 and articles"}
+
+
+@query("store_asked_twice", f"""
+WITH {COUNTS},
+questions AS (
+  SELECT 'seven' AS question_id, '{_ASKED["seven"]}' AS question
+  UNION ALL SELECT 'named', '{_ASKED["named"]}'),
+""" + ",".join(
+    _answer_sql(f"{asked}_", "author", "Author", "by_author", "article_count_by_author", asked)
+    for asked in _ASKED) + """
+SELECT * FROM seven_context UNION ALL SELECT * FROM named_context""")
+def _(spark, sf):
+    # Embedded once; each question comes later and on its own.
+    key, count = "author", "article_count_by_author"
+    totals = total_per_key(author_counts(messages(spark, sf)), key, count)
+    store = totals_store(totals, key, count, scratch_path(spark, "store"))
+    first, second = (
+        store.contexts(spark.createDataFrame([asked], "question_id string, question string"),
+                       "question_id")
+        for asked in _ASKED.items())
+    return first.unionByName(second)

@@ -1,24 +1,29 @@
-"""The jobs one runs: ingest, count, refresh, ask. See ``python -m tallywire --help``."""
+"""The jobs one runs: ingest, count, refresh, compact, index, ask. See ``python -m tallywire --help``."""
 
 from __future__ import annotations
 
 import argparse
+import importlib
 from collections.abc import Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tallywire.plans.answers import answer
+from tallywire.operators.rollups import total_per_key
+from tallywire.plans.answers import answer, ask_store, totals_store
+from tallywire.plans.compaction import compact as compact_counts
 from tallywire.plans.counting import articles_from_messages, author_counts, source_counts
 from tallywire.plans.dashboard import bars_or_status
-from tallywire.plans.ingest import POLL_INTERVAL, messages_from_responses
+from tallywire.plans.ingest import POLL_INTERVAL, messages_from_responses, polled_responses
+from tallywire.plans.store import DocumentStore
 from tallywire.schemas import AUTHOR_COUNTS, SOURCE_COUNTS
 from tallywire.session import pin_utc, stateful
 from tallywire.sources.directories import json_directory, parquet_directory
 from tallywire.sources.messages import kafka_messages, landed_messages
 from tallywire.sources.polls import landed_responses
-from tallywire.storage import scratch_run
-from tallywire.streaming.fanout import console_target, directory_target, fan_out
+from tallywire.storage import make_folder, materialize, scratch_run
+from tallywire.streaming.fanout import console_target, fan_out
 from tallywire.streaming.refresh import REFRESH_INTERVAL, running_counts, snapshot_sink
 from tallywire.streaming.sinks import console_sink, json_sink, kafka_sink, parquet_sink
 
@@ -32,8 +37,16 @@ _KINDS = {
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
-    """Clean the articles of landed poll responses and publish them."""
-    messages = messages_from_responses(landed_responses(spark, args.responses))
+    """Clean the articles of landed or fetched poll responses and publish them."""
+    if args.fetch:
+        module, _, function = args.fetch.partition(":")
+        client = importlib.import_module(module)
+        # Sent as it is, so that workers need no copy of the module.
+        cloudpickle.register_pickle_by_value(client)
+        responses = polled_responses(spark, getattr(client, function))
+    else:
+        responses = landed_responses(spark, args.responses)
+    messages = messages_from_responses(responses)
     if args.messages:
         writer = parquet_sink(messages, args.messages, args.checkpoint)
     else:
@@ -44,10 +57,10 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery
 def count(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
     """Windowed counts of a message stream into a sink, optionally shown as well.
 
-    The plain sink keeps a log of its files and is what ``refresh`` follows. With
-    ``--console`` the counts are computed once and handed to console and sink both.
+    The sink keeps a log of its files, which ``refresh`` follows. With ``--console`` a second
+    query follows it too and prints what has been committed, so counts are computed once.
     """
-    _, _, _, plan, fmt, sink, _ = _KINDS[args.key]
+    _, _, schema, plan, fmt, sink, _ = _KINDS[args.key]
     if args.messages:
         messages = landed_messages(spark, args.messages)
     else:
@@ -57,10 +70,14 @@ def count(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
     with stateful(spark, args.partitions):
         if args.console:
             started.append(_start(console_sink(articles_from_messages(messages)), args.once))
-            targets = [console_target(), directory_target(args.sink, fmt)]
-            started.append(_start(fan_out(counts, targets, args.checkpoint), args.once))
-        else:
-            started.append(_start(sink(counts, args.sink, args.checkpoint), args.once))
+        started.append(_start(sink(counts, args.sink, args.checkpoint), args.once))
+        if args.console:
+            if args.once:
+                started[-1].awaitTermination()
+            make_folder(spark, args.sink)
+            shown = spark.readStream.schema(schema).format(fmt).load(args.sink)
+            writer = fan_out(shown, [console_target()], f"{args.checkpoint}-console")
+            started.append(_start(writer, args.once))
     return started
 
 
@@ -73,12 +90,29 @@ def refresh(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuer
         return [_start(writer, args.once, REFRESH_INTERVAL)]
 
 
+def compact(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
+    """Rewrite the closed days of a sink into few files, in a folder of their own."""
+    _, _, schema, _, fmt, _, read = _KINDS[args.key]
+    compact_counts(read(spark, args.sink, schema), args.into, fmt, args.before)
+    return []
+
+
+def index(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
+    """Embed the totals of a sink as it is now, for many questions."""
+    key, total, schema, _, _, _, read = _KINDS[args.key]
+    totals = materialize(total_per_key(read(spark, args.sink, schema), key, total), "totals")
+    totals_store(totals, key, total, args.store)
+    return []
+
+
 def ask(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
-    """Bars, status, retrieved context and exact answer for a sink as it is now."""
+    """Context for a question from a store, or bars, status, context and exact answer of a sink."""
     key, total, schema, _, _, _, read = _KINDS[args.key]
+    if args.store:
+        return [ask_store(DocumentStore(spark, args.store, "document_id"), key, args.question)]
     counts = read(spark, args.sink, schema)
     bars, status = bars_or_status(counts, key, total)
-    context, exact = answer(counts, key, total)
+    context, exact = answer(counts, key, total, args.question)
     return [bars.orderBy("rank"), status, context, exact]
 
 
@@ -110,15 +144,27 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--servers")
         sub.add_argument("--topic")
 
-    ingesting = job(ingest, "--responses", "--checkpoint")
+    def one_of(sub: argparse.ArgumentParser, **options: str) -> None:
+        group = sub.add_mutually_exclusive_group(required=True)
+        for option, text in options.items():
+            group.add_argument(f"--{option}", help=text)
+
+    ingesting = job(ingest, "--checkpoint")
+    one_of(ingesting, responses="a folder of landed responses",
+           fetch="module:function called with keyword, news source and language")
     counting = job(count, "--sink", "--checkpoint")
     refreshing = job(refresh, "--sink", "--snapshots", "--checkpoint")
-    asking = job(ask, "--sink")
+    compacting = job(compact, "--sink", "--into")
+    compacting.add_argument("--before", help="a date; its day and later ones are left out")
+    indexing = job(index, "--sink", "--store")
+    asking = job(ask)
+    one_of(asking, sink="a folder of counts", store="a folder written by index")
+    asking.add_argument("--question", help="instead of the one for the key")
     for sub in (ingesting, counting):
         topic_or_folder(sub)
     for sub in (ingesting, counting, refreshing):
         stream(sub)
-    for sub in (counting, refreshing, asking):
+    for sub in (counting, refreshing, compacting, indexing, asking):
         sub.add_argument("--key", choices=sorted(_KINDS), required=True)
     counting.add_argument("--console", action="store_true", help="also print articles and counts")
     return top

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.feature import HashingTF, IDF, IDFModel, Normalizer, RegexTokenizer
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,20 @@ class TfIdfEmbedder:
     weights: IDFModel | None
     dimensions: int
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Keep the weights below ``path``, over what was there."""
+        if self.weights is not None:
+            self.weights.write().overwrite().save(f"{path}/weights")
+        spark.range(1).select(F.lit(self.dimensions).alias("dimensions"),
+                              F.lit(self.weights is not None).alias("weighted")
+                              ).write.mode("overwrite").parquet(f"{path}/shape")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> TfIdfEmbedder:
+        shape = spark.read.schema("dimensions int, weighted boolean").parquet(f"{path}/shape").first()
+        weights = IDFModel.load(f"{path}/weights") if shape["weighted"] else None
+        return cls(weights, shape["dimensions"])
+
     @classmethod
     def fit(cls, counts: DataFrame, dimensions: int = DEFAULT_DIMENSIONS) -> TfIdfEmbedder:
         if counts.isEmpty():

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tallywire.operators.ranking import with_rank
 from tallywire.storage import materialize, scratch_path
 
 # Fixed value: documents handed to an answer.
@@ -45,12 +46,15 @@ def nearest(
     Question ids must be unique, and question vectors finite and of one width, which corpus
     vectors must share; anything else raises, whatever the sizes. A corpus vector with a
     NaN, an infinity or a null element (taken as NaN) has that distance, and comes after all
-    finite ones; corpus rows without an id or a vector are left out. The corpus stays where it is: each task holds a
-    block of question vectors, runs once over its own rows and keeps k per question,
-    so no (question, row) pair is ever a Spark row and only k rows per task and
-    question are shuffled. The block is broadcast, so its size is measured first;
-    more questions than fit in ``block_bytes`` are answered in several blocks, each
-    a further run over the corpus whose result is written before the next begins.
+    finite ones; corpus rows without an id or a vector are left out.
+
+    The corpus stays where it is: each task holds a block of question vectors, runs once
+    over its own rows and keeps k per question, so no (question, row) pair is ever a Spark
+    row and only k rows per task and question are shuffled. The block is broadcast, so its
+    size is measured first; more questions than fit in ``block_bytes`` are answered in
+    several blocks, each a further run over the corpus whose result is written before the
+    next begins. A pass over a full block costs far more in products than in reading, so
+    fewer passes would gain little and the memory of a task stays bounded by the block.
     """
     spark = corpus.sparkSession
     asked = questions.where(F.col(vector).isNotNull()).select(question_id, vector)
@@ -67,7 +71,8 @@ def nearest(
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x)
                       & (F.abs(x.cast("double")) < float("inf")))
     size = asked.agg(
-        F.count("*").alias("n"), F.count_if(~finite).alias("unusable"), F.min(width).alias("narrow"), F.max(width).alias("wide"),
+        F.count("*").alias("n"), F.count_if(~finite).alias("unusable"),
+        F.min(width).alias("narrow"), F.max(width).alias("wide"),
         F.max(id_bytes).alias("id_bytes"),
     ).first()
     if size["narrow"] != size["wide"]:
@@ -84,9 +89,12 @@ def nearest(
         found = _search(shared, searched, output, k)
         return _merge(found, question_id, corpus_id, k)
 
-    blocks = _block_count(asked, question_id, size["n"], per_block)
-    asked = materialize(asked.withColumn("_block", _block(question_id, blocks)),
-                        "question-blocks", partition_by="_block")
+    # Blocks of equal size by position, so that there are no more passes than the bound asks for.
+    blocks = math.ceil(size["n"] / per_block)
+    ranked = with_rank(asked, [F.col(question_id)], "_rank")
+    asked = materialize(
+        ranked.withColumn("_block", F.expr(f"int((_rank - 1) div {per_block})")).drop("_rank"),
+        "question-blocks", partition_by="_block")
     answers = scratch_path(spark, "nearest")
     for number in range(blocks):
         shared = _share(asked.where(F.col("_block") == number), question_id, vector)
@@ -99,23 +107,6 @@ def nearest(
     return spark.read.schema(ranked).parquet(answers).drop("block")
 
 
-def _block(question_id: str, blocks: int):
-    return F.pmod(F.xxhash64(question_id), F.lit(blocks))
-
-
-def _block_count(asked: DataFrame, question_id: str, n: int, per_block: int) -> int:
-    """Number of hash blocks such that none exceeds the size bound."""
-    blocks = math.ceil(1.25 * n / per_block)
-    while True:
-        sizes = asked.groupBy(_block(question_id, blocks).alias("block")).count()
-        largest = sizes.agg(F.max("count")).first()[0]
-        if largest <= per_block:
-            return blocks
-        if blocks > 64 * n:
-            raise ValueError(f"{question_id} is not unique: {largest} rows in one block")
-        blocks *= 2
-
-
 def _share(block: DataFrame, question_id: str, vector: str) -> Broadcast:
     """Ids and vectors of a block whose size has been checked, on every executor."""
     rows = block.select(question_id, F.col(vector).cast("array<double>")).toArrow()

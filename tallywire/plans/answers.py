@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywire.operators.documents import key_documents, stuff_context
-from tallywire.operators.embed import DEFAULT_DIMENSIONS, embed_corpus, embed_with_model
-from tallywire.operators.nearest import DEFAULT_K, nearest, vector_table
+from tallywire.operators.documents import key_documents
+from tallywire.operators.embed import DEFAULT_DIMENSIONS
+from tallywire.operators.nearest import DEFAULT_K
 from tallywire.operators.rollups import top_total, total_per_key
-from tallywire.storage import materialize
+from tallywire.plans.store import DocumentStore, MakePredict
+from tallywire.storage import materialize, scratch_path
 
 # The questions asked of each sink.
 QUESTIONS = {
@@ -20,18 +19,6 @@ QUESTIONS = {
 }
 
 
-def attach_documents(hits: DataFrame, documents: DataFrame, document_id: str) -> DataFrame:
-    """Look up the texts of found documents; a hit without one keeps a null.
-
-    The hits are written first. Their size is then known to the planner, which
-    broadcasts their ids to the documents when they are few, so that the texts not
-    found are dropped where they are read instead of being shuffled.
-    """
-    hits = materialize(hits, "hits")
-    found = documents.join(hits.select(document_id).distinct(), document_id)
-    return hits.join(found, document_id, "left")
-
-
 def retrieve(
     questions: DataFrame,
     documents: DataFrame,
@@ -42,39 +29,46 @@ def retrieve(
     text: str = "page_content",
     k: int = DEFAULT_K,
     dimensions: int = DEFAULT_DIMENSIONS,
-    make_predict: Callable[[], Callable] | None = None,
+    make_predict: MakePredict | None = None,
 ) -> DataFrame:
     """For each question the context made of its ``k`` nearest documents.
 
-    Vectors are hashed tf-idf, or those of the model that ``make_predict`` loads.
+    Vectors are hashed tf-idf, or those of the model that ``make_predict`` loads. The
+    store this builds is for one use; keep a ``DocumentStore`` to ask again.
     """
-    documents = documents.select(document_id, text)
-    questions = questions.select(question_id, question)
-    if make_predict is None:
-        embedder, corpus = embed_corpus(documents, text, dimensions)
-        asked = embedder.embed(questions, question)
-    else:
-        # Written once: the search goes through the vectors for every block of questions.
-        corpus = materialize(vector_table(embed_with_model(documents, text, make_predict),
-                                          document_id, "embedding"), "vectors")
-        asked = embed_with_model(questions, question, make_predict)
-    hits = nearest(asked, corpus, question_id=question_id, corpus_id=document_id, k=k)
-    return stuff_context(attach_documents(hits, documents, document_id), question_id, text)
+    spark = documents.sparkSession
+    store = DocumentStore(spark, scratch_path(spark, "store"), document_id, text, make_predict)
+    store.build(documents.select(document_id, text), dimensions)
+    return store.contexts(questions, question_id, question, k)
 
 
-def answer(counts: DataFrame, key: str, count: str, **options) -> tuple[DataFrame, DataFrame]:
-    """The retrieved context for the key's question, and the exact answer.
+def totals_store(totals: DataFrame, key: str, count: str, path: str,
+                 dimensions: int = DEFAULT_DIMENSIONS, make_predict: MakePredict | None = None
+                 ) -> DocumentStore:
+    """A store of one sentence per total, with its metadata."""
+    documents = key_documents(totals, key, count).select(
+        F.map_values("metadata")[0].alias("document_id"), "page_content", "metadata")
+    store = DocumentStore(totals.sparkSession, path, "document_id", make_predict=make_predict)
+    return store.build(documents, dimensions)
+
+
+def answer(counts: DataFrame, key: str, count: str, question: str | None = None,
+           k: int = DEFAULT_K, path: str | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """The retrieved context for a question, by default the key's, and the exact answer.
 
     A context of k documents cannot show every key; the exact answer ranks all. The
-    totals serve several passes, so they are written once. ``options`` go to ``retrieve``.
+    totals serve several passes, so they are written once. ``options`` go to
+    ``totals_store``, which is built at ``path`` if that is given.
     """
+    spark = counts.sparkSession
     totals = materialize(total_per_key(counts, key, count), "totals")
-    documents = key_documents(totals, key, count).select(
-        F.map_values("metadata")[0].alias("document_id"), "page_content"
-    )
-    asked = counts.sparkSession.range(1).select(
-        F.lit(key).alias("question_id"), F.lit(QUESTIONS[key]).alias("question")
-    )
-    context = retrieve(asked, documents, question_id="question_id", document_id="document_id",
-                       **options)
-    return context, top_total(totals, key, count)
+    store = totals_store(totals, key, count, path or scratch_path(spark, "store"), **options)
+    return ask_store(store, key, question, k), top_total(totals, key, count)
+
+
+def ask_store(store: DocumentStore, key: str, question: str | None = None, k: int = DEFAULT_K
+              ) -> DataFrame:
+    """The context for one question, by default the key's."""
+    asked = store.spark.range(1).select(
+        F.lit(key).alias("question_id"), F.lit(question or QUESTIONS[key]).alias("question"))
+    return store.contexts(asked, "question_id", k=k)

@@ -61,6 +61,12 @@ def delete(spark: SparkSession, path: str) -> None:
     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder where there is none yet."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(location)
+
+
 def materialize(
     df: DataFrame, label: str, partition_by: str | None = None, compression: str | None = None
 ) -> DataFrame:

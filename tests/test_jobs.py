@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tallywire.jobs import main, parser, wait_for_all
+from tallywire.jobs import _KINDS, main, parser, wait_for_all
 from tallywire.schemas import AUTHOR_COUNTS
 from tallywire.streaming.refresh import latest_snapshot
 
@@ -60,6 +60,58 @@ def test_console_shares_the_counts_with_the_sink(spark, folder, capsys):
     assert "Source: bbc, Number of articles: 1" in capsys.readouterr().out
 
 
+def test_the_console_follows_what_refresh_follows(spark, folder):
+    # Nothing counted twice, nothing beside the log.
+    run(spark, folder, "refresh --key source --sink {}/both --snapshots {}/both-snapshots "
+                       "--checkpoint {}/c5 --once --partitions 2")
+    shape = spark.createDataFrame([], "source_id string, n_windows long").schema
+    rows = latest_snapshot(spark, f"{folder}/both-snapshots", shape).collect()
+    assert sorted(map(tuple, rows)) == [("bbc", 1), ("cnn", 2)]
+
+
+def test_fetch_polls_a_service(spark, folder, tmp_path, monkeypatch):
+    (tmp_path / "fake_service.py").write_text(
+        "def fetch(keyword, source, language):\n"
+        "    return {'articles': [{'title': f'{keyword} {source} {language}'}]}\n")
+    monkeypatch.syspath_prepend(str(tmp_path))
+    run(spark, folder, "ingest --fetch fake_service:fetch --messages {}/fetched --checkpoint {}/c6 "
+                       "--once")
+    titles = {json.loads(r.value)["title"] for r in
+              spark.read.parquet(f"{folder}/fetched").selectExpr("string(value)").collect()}
+    assert len(titles) == 10 and "nepal cnn en" in titles
+
+
+@pytest.mark.parametrize("key, fmt", [("source", "parquet"), ("author", "json")])
+def test_compaction_keeps_every_row_of_closed_days(spark, tmp_path, key, fmt):
+    _, _, schema, _, _, _, read = _KINDS[key]
+    start = F.expr("timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, int(id))")
+    window = F.struct(start.alias("start"), (start + F.expr("interval 5 minutes")).alias("end"))
+    counts = spark.range(72).repartition(12).select(
+        *(window.alias("window") if name == "window" else
+          F.col("id").cast(schema[name].dataType).alias(name) for name in schema.names))
+    counts.write.format(fmt).save(str(tmp_path / "sink"))
+
+    def compacted(*options):
+        main(["compact", "--key", key, "--sink", f"{tmp_path}/sink", "--into",
+              f"{tmp_path}/days", *options], spark)
+        return sorted(read(spark, f"{tmp_path}/days", schema).collect(), key=str)
+
+    rows = sorted(read(spark, f"{tmp_path}/sink", schema).collect(), key=str)
+    assert compacted("--before", "2024-01-03") == [
+        row for row in rows if row.window.start.day < 3]
+    assert compacted() == rows == compacted()
+    for day in (1, 2, 3):
+        assert len(list((tmp_path / "days" / f"day=2024-01-0{day}").glob(f"part-*.{fmt}*"))) == 1
+
+
+def test_a_store_takes_any_question(spark, folder, capsys):
+    run(spark, folder, "index --key source --sink {}/both --store {}/store")
+    for source in ("cnn", "bbc"):
+        main(["ask", "--key", "source", "--store", f"{folder}/store", "--question",
+              f"Source: {source}, Number of articles"], spark)
+        assert f"|Source: {source}," in capsys.readouterr().out
+
+
 def test_an_empty_sink_has_a_status_and_no_answer(spark, folder, capsys):
     (folder / "empty").mkdir()
     run(spark, folder, "ask --key author --sink {}/empty")

@@ -13,7 +13,9 @@ from tallywire.operators import nearest as module
 from tallywire.operators.embed import embed_corpus, embed_with_model
 from tallywire.operators.documents import stuff_context
 from tallywire.operators.nearest import nearest, vector_table
-from tallywire.plans.answers import QUESTIONS, answer, attach_documents, retrieve
+from tallywire.operators.embed import TfIdfEmbedder
+from tallywire.plans.answers import QUESTIONS, answer, retrieve
+from tallywire.plans.store import DocumentStore, attach_documents
 
 
 def brute_force(questions, corpus, k):
@@ -200,6 +202,50 @@ def test_retrieval_with_own_model(spark, tmp_path):
         assert len(file.readlines()) == 30 + 2
 
 
+def test_a_store_embeds_once_and_answers_any_number_of_times(spark, tmp_path):
+    seen = str(tmp_path / "seen")
+
+    def make_predict():
+        def predict(texts):
+            with open(seen, "a") as file:
+                file.writelines("x\n" for _ in texts)
+            return np.array([[len(t), 0] for t in texts], dtype=np.float32)
+
+        return predict
+
+    documents = spark.createDataFrame([(i, "x" * i, {"n": str(i)}) for i in range(1, 21)],
+                                      "d int, page_content string, metadata map<string, string>")
+    store = DocumentStore(spark, str(tmp_path / "store"), "d", make_predict=make_predict)
+    store.build(documents)
+    for size in (3, 9, 15):
+        asked = spark.createDataFrame([(size, "y" * size)], "q int, question string")
+        (hit,) = store.search(asked, "q", k=1).collect()
+        assert (hit.d, hit.distance, hit.metadata) == (size, 0.0, {"n": str(size)})
+    with open(seen) as file:
+        assert len(file.readlines()) == 20 + 3
+
+
+def test_a_saved_embedder_is_the_same(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a b c"), (2, "a d"), (3, None)], "i int, text string")
+    embedder, vectors = embed_corpus(df, "text", 32)
+    embedder.save(spark, str(tmp_path / "full"))
+    again = TfIdfEmbedder.load(spark, str(tmp_path / "full"))
+    assert again.embed(df, "text").orderBy("i").collect() == vectors.orderBy("i").collect()
+    empty, _ = embed_corpus(df.where("false"), "text", 16)
+    empty.save(spark, str(tmp_path / "empty"))
+    assert TfIdfEmbedder.load(spark, str(tmp_path / "empty")) == TfIdfEmbedder(None, 16)
+
+
+def test_blocks_are_as_few_as_the_bound_allows(spark, vectors, monkeypatch):
+    questions, corpus = vectors
+    passes = []
+    search = module._search
+    monkeypatch.setattr(module, "_search", lambda *a: passes.append(1) or search(*a))
+    q, c = frames(spark, questions, corpus)
+    nearest(q, c, question_id="qid", corpus_id="cid", block_bytes=5 * (8 * 8 + 5)).count()
+    assert len(passes) == -(-len(questions) // 5)
+
+
 def test_context_is_in_rank_order_with_blank_lines(spark):
     hits = spark.createDataFrame([(1, 3, "c"), (1, 1, "a"), (1, 2, None), (2, 1, "z")],
                                  "q int, rank int, page_content string")
