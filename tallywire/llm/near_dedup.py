@@ -145,7 +145,8 @@ def _alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         F.zip_with("own", "other", lambda a, b: F.bit_count(a.bitwiseXOR(b))),
         F.lit(0), lambda total, bits: total + bits)
     return (pairs.join(own, "node").join(other, "pivot")
-            .where(estimate(different) >= percent / 100 - SLACK).select("node", "pivot"))
+            .select("node", "pivot", estimate(different).alias("estimate"))
+            .where(F.col("estimate") >= percent / 100 - SLACK))
 
 
 def linked(sets: list[np.ndarray], first: int, percent: int) -> Iterator[tuple[int, int]]:
@@ -192,22 +193,17 @@ def linked(sets: list[np.ndarray], first: int, percent: int) -> Iterator[tuple[i
             yield x, y
 
 
-def _confirmed(clusters: DataFrame, nodes: DataFrame, rows: DataFrame, size: int, percent: int,
-               block: int) -> DataFrame:
-    """Links on full sets among the documents of each cluster, as connecting pairs.
+def _confirmed(units: DataFrame, nodes: DataFrame, rows: DataFrame, size: int, percent: int
+               ) -> DataFrame:
+    """Links on full sets within units, as connecting pairs.
 
-    A cluster of more than ``block`` documents is dealt into blocks, and each pair of blocks
-    is a unit of its own, so no task holds more than two blocks of texts.
+    A unit is a ``label`` and two blocks ``low`` and ``high`` of documents (``block``,
+    ``node``). Its links are those between the two blocks, or within the one if they are
+    the same. A task holds one unit of texts at a time.
     """
-    sizes = clusters.groupBy("label").agg(F.count("*").alias("n")).select(
-        "label", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    members = (clusters.join(sizes, "label")
-               .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-               .join(nodes.select("node", "key"), "node"))
-    units = (members.join(rows.select("key", "text"), "key")
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("label", F.least("block", "other").alias("low"),
-                     F.greatest("block", "other").alias("high"), "block", "node", "text"))
+    texts = (units.join(nodes.select("node", "key"), "node")
+             .join(rows.select("key", "text"), "key")
+             .select("label", "low", "high", "block", "node", "text"))
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,11 +232,61 @@ def _confirmed(clusters: DataFrame, nodes: DataFrame, rows: DataFrame, size: int
         if held:
             yield found(unit, held)
 
-    dealt = units.repartition(parts, "label", "low", "high").sortWithinPartitions(
+    dealt = texts.repartition(parts, "label", "low", "high").sortWithinPartitions(
         "label", "low", "high")
     return dealt.mapInArrow(links, "a long, b long")
 
 
+def _stars(pairs: DataFrame, block: int) -> DataFrame:
+    """Units in which each document meets the pivot it looks most alike, a block at a time."""
+    best = (pairs.groupBy("node").agg(F.max(F.struct("estimate", "pivot")).alias("best"))
+            .select("node", F.col("best.pivot").alias("label")))
+    sizes = best.groupBy("label").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks"))
+    own = best.join(sizes, "label").select(
+        "label", F.lit(-1).cast("long").alias("low"),
+        F.pmod(F.xxhash64("node"), F.col("blocks")).alias("high"), "node")
+    pivots = sizes.select("label", F.lit(-1).cast("long").alias("low"),
+                          F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+                          .alias("high"), F.col("label").alias("node"))
+    return own.withColumn("block", F.col("high")).unionByName(pivots.withColumn("block", F.col("low")))
+
+
+def _across(clusters: DataFrame, known: DataFrame, block: int) -> DataFrame:
+    """Units that compare all documents of a cluster that no links connect yet.
+
+    ``known`` are components over the links found so far. One of more than ``block``
+    documents has blocks of its own, which are never compared with one another; the rest of a
+    cluster shares blocks. So a large group whose members are alike costs as many
+    comparisons as it has members for each document of its cluster outside it.
+    """
+    known = known.withColumnRenamed("label", "known")
+    members = clusters.join(known, "node", "left").withColumn(
+        "known", F.coalesce("known", "node"))
+    open_clusters = (members.groupBy("label").agg(F.min("known").alias("a"), F.max("known").alias("b"))
+                     .where("a <> b").select("label"))
+    members = members.join(open_clusters, "label", "left_semi")
+    sizes = members.groupBy("label", "known").agg(F.count("*").alias("n"))
+    # Components are named by nodes; all small ones of a cluster go by null.
+    members = members.join(sizes, ["label", "known"]).select(
+        "label", "node", F.when(F.col("n") > block, F.col("known")).alias("own"))
+    groups = members.groupBy("label", "own").agg(
+        F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    members = materialize(
+        members.join(groups.withColumnRenamed("label", "of").withColumnRenamed("own", "group"),
+                     (F.col("label") == F.col("of")) & F.col("own").eqNullSafe(F.col("group")))
+        .select("label", "node", "own",
+                F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("number")),
+        "near-members")
+    others = groups.select(F.col("label").alias("of"), F.col("own").alias("other"), "blocks")
+    return (members.join(others, (F.col("label") == F.col("of"))
+                         & (F.col("own").isNull() | ~F.col("own").eqNullSafe(F.col("other"))))
+            .withColumn("place", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("block", F.xxhash64("own", "number"))
+            .withColumn("_other", F.xxhash64("other", "place"))
+            .select("label", F.least("block", "_other").alias("low"),
+                    F.greatest("block", "_other").alias("high"), "block", "node"))
+
+
 def near_duplicate_groups(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
                           words: int = WORDS, percent: int = PERCENT, block: int = BLOCK
                           ) -> DataFrame:
@@ -266,7 +312,12 @@ def near_duplicate_groups(docs: DataFrame, *, id_col: str = "doc_id", text: str
         .withColumn("key", F.col("low.key")), "near-nodes")
     pairs = materialize(_alike(_candidates(nodes), nodes, percent), "near-pairs")
     clusters = components(pairs, "node", "pivot")
-    links = materialize(_confirmed(clusters, nodes, rows, words, percent, block), "near-links")
+    # Most links are found between documents and pivots, one comparison a document.
+    stars = _confirmed(_stars(pairs, block), nodes, rows, words, percent)
+    known = materialize(components(materialize(stars, "near-links"), "a", "b"), "near-known")
+    rest = _confirmed(_across(clusters, known, block), nodes, rows, words, percent)
+    links = known.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(
+        materialize(rest, "near-links"))
     labels = components(links, "a", "b")
     lows = (nodes.select("node", "low").join(labels, "node", "left")
             .withColumn("label", F.coalesce("label", "node")))

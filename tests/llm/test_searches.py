@@ -124,6 +124,11 @@ def near_copies(seed):
             for _ in range(rng.choice([0, 1, 2, 5])):
                 own[rng.randrange(len(own))] = f"e{rng.randrange(10 ** 6)}"
             docs.append(" ".join(own).upper() if copy % 2 else " ".join(own))
+    # A chain: only neighbours of a few steps are linked, and all of it is one group.
+    drift = [f"d{rng.randrange(500)}" for _ in range(100)]
+    for step in range(24):
+        drift[4 * step] = f"s{step}"
+        docs.append(" ".join(drift))
     return list(enumerate(docs, 100))
 
 
