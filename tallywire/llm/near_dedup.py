@@ -27,6 +27,8 @@ SKETCH_BITS = 1024
 SLACK = 0.2
 # Documents of a cluster that one task compares with one another, or with as many others.
 BLOCK = 256
+# Documents of a band whose sketches one task compares with one another, or with as many others.
+BAND_BLOCK = 2048
 _COLUMNS = 1 << 14
 
 
@@ -115,26 +117,11 @@ def _sketched(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(sketch, _SKETCHES)
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
-    """Pairs (``node``, ``pivot``) that share a band; the pivot is the least node with it.
-
-    Where more than two share a band, they are divided by the next band, and again by the
-    one after, each part with a pivot of its own. So documents that are alike meet also
-    in a band that many others share. A band gives as many pairs as it has nodes.
-    """
-    turned = [F.col("bands")] + [
-        F.concat(F.slice("bands", i + 1, BANDS - i), F.slice("bands", 1, i)) for i in (1, 2)]
-    rows = nodes.select("node", F.explode(F.arrays_zip(
-        *(t.alias(f"band{i}") for i, t in enumerate(turned)))).alias("b")).select("node", "b.*")
-    pairs, keys = None, []
-    for level in range(3):
-        keys.append(f"band{level}")
-        least = rows.groupBy(*keys).agg(F.min("node").alias("pivot"), F.count("*").alias("n"))
-        rows = materialize(rows.join(least.where("n > 1"), keys), "near-bands")
-        found = rows.where("node <> pivot").select("node", "pivot")
-        pairs = found if pairs is None else pairs.unionByName(found)
-        rows = rows.where("n > 2").drop("pivot", "n")
-    return pairs.distinct()
+def _shared_bands(nodes: DataFrame) -> DataFrame:
+    """Nodes by the bands that two or more share: ``band, node, n, pivot`` (the least node)."""
+    rows = nodes.select("node", F.explode("bands").alias("band"))
+    least = rows.groupBy("band").agg(F.min("node").alias("pivot"), F.count("*").alias("n"))
+    return materialize(rows.join(least.where("n > 1"), "band"), "near-bands")
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -148,6 +135,105 @@ def _alike(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             .where(estimate(different) >= percent / 100 - SLACK).select("node", "pivot"))
 
 
+def _most_different(percent: int) -> int:
+    """Most bits in which two sketches may differ that ``_alike`` doesn't rule out."""
+    share = np.minimum(2.0 * np.arange(SKETCH_BITS + 1) / SKETCH_BITS, 0.999)
+    near = 1.0 + SKETCH_BITS / (4.0 * SAMPLES) * np.log1p(-share) >= percent / 100 - SLACK
+    return int(np.flatnonzero(near).max())
+
+
+def across(sketches: np.ndarray, labels: np.ndarray, first: int, most: int
+           ) -> Iterator[tuple[int, int]]:
+    """Pairs of labels that suffice to connect those whose sketches differ in ``most`` bits or less.
+
+    With ``first`` > 0 only the first so many are compared, each with all others.
+    """
+    group = labels.copy()
+    for row in range(first or len(sketches)):
+        start = first or row + 1
+        apart = np.flatnonzero(group[start:] != group[row]) + start
+        different = np.bitwise_count(sketches[apart] ^ sketches[row]).sum(axis=1, dtype=np.int64)
+        for label in np.unique(group[apart[different <= most]]).tolist():
+            yield int(group[row]), label
+            group[group == label] = group[row]
+
+
+def _met_in_bands(bands: DataFrame, clusters: DataFrame, nodes: DataFrame, percent: int,
+                  block: int) -> DataFrame:
+    """Pairs of clusters with alike nodes in a band, for bands whose nodes are not in one cluster.
+
+    Every two nodes of such a band are compared by their sketches, unless one cluster holds
+    both. A band of more than ``block`` nodes is dealt into blocks, and each pair of blocks is
+    a unit of its own.
+    """
+    rows = (bands.where("n > 2").select("band", "node", "n").join(clusters, "node", "left")
+            .withColumn("label", F.coalesce("label", "node")))
+    several = rows.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b"))
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    units = (rows.join(several.where("a <> b").select("band"), "band")
+             .withColumn("blocks", blocks)
+             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .join(nodes.select("node", "sketch"), "node")
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("band", F.least("block", "other").alias("low"),
+                     F.greatest("block", "other").alias("high"), "block", "label", "sketch"))
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = _most_different(percent)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(unit: tuple, held: list) -> pa.RecordBatch:
+            numbers, labels, sketches = (np.concatenate(part) for part in zip(*held))
+            first = int((numbers == unit[1]).sum()) if unit[1] != unit[2] else 0
+            pairs = []
+            if unit[1] == unit[2] or 0 < first < len(labels):
+                pairs = list(across(sketches, labels, first, most))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x for x, _ in pairs], pa.int64()),
+                 pa.array([y for _, y in pairs], pa.int64())], ["a", "b"])
+
+        unit, held = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            band, low, high, number, label = (c.to_numpy() for c in batch.columns[:5])
+            sketch = batch.column(5).flatten().to_numpy().view(np.uint64).reshape(
+                -1, SKETCH_BITS // 64)
+            new = (band[1:] != band[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+            heads = [0, *(np.flatnonzero(new) + 1).tolist(), len(band)]
+            for start, stop in zip(heads, heads[1:]):
+                here = (band[start], low[start], high[start])
+                if here != unit:
+                    if held:
+                        yield found(unit, held)
+                    unit, held = here, []
+                held.append((number[start:stop].copy(), label[start:stop].copy(),
+                             sketch[start:stop].copy()))
+        if held:
+            yield found(unit, held)
+
+    dealt = units.repartition(parts, "band", "low", "high").sortWithinPartitions(
+        "band", "low", "high", "block")
+    return dealt.mapInArrow(meet, "a long, b long")
+
+
+def _clusters(nodes: DataFrame, percent: int, block: int) -> DataFrame:
+    """Clusters of nodes that share a band and whose sketches don't rule them out.
+
+    The nodes of a band are compared with its pivot first, which connects most of what is
+    alike; then with one another, where that leaves them in several clusters.
+    """
+    bands = _shared_bands(nodes)
+    pairs = bands.where("node <> pivot").select("node", "pivot").distinct()
+    near = components(materialize(_alike(pairs, nodes, percent), "near-pairs"), "node", "pivot")
+    met = materialize(_met_in_bands(bands, near, nodes, percent, block), "near-met")
+    joined = components(met, "a", "b").select(F.col("node").alias("label"),
+                                              F.col("label").alias("whole"))
+    # A node without a cluster may have been met as one of its own.
+    alone = joined.select(F.col("label").alias("node"), "label").join(near, "node", "left_anti")
+    return (near.unionByName(alone).join(joined, "label", "left")
+            .select("node", F.coalesce("whole", "label").alias("label")))
+
+
 def linked(sets: list[np.ndarray], first: int, percent: int) -> Iterator[tuple[int, int]]:
     """Pairs that suffice to connect all links among ``sets``.
 
@@ -242,8 +328,8 @@ def _confirmed(clusters: DataFrame, nodes: DataFrame, rows: DataFrame, size: int
 
 
 def near_duplicate_groups(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text",
-                          words: int = WORDS, percent: int = PERCENT, block: int = BLOCK
-                          ) -> DataFrame:
+                          words: int = WORDS, percent: int = PERCENT, block: int = BLOCK,
+                          band_block: int = BAND_BLOCK) -> DataFrame:
     """Per row: ``key``, ``id``, ``n_shingles``, ``component_id``, ``kept``.
 
     Documents are linked if their sets of distinct shingles of ``words`` words (A-Z in lower
@@ -264,8 +350,7 @@ def near_duplicate_groups(docs: DataFrame, *, id_col: str = "doc_id", text: str
         full.groupBy("node").agg(F.min(order).alias("low"), F.first("bands").alias("bands"),
                                  F.first("sketch").alias("sketch"))
         .withColumn("key", F.col("low.key")), "near-nodes")
-    pairs = materialize(_alike(_candidates(nodes), nodes, percent), "near-pairs")
-    clusters = components(pairs, "node", "pivot")
+    clusters = _clusters(nodes, percent, band_block)
     links = materialize(_confirmed(clusters, nodes, rows, words, percent, block), "near-links")
     labels = components(links, "a", "b")
     lows = (nodes.select("node", "low").join(labels, "node", "left")

@@ -13,6 +13,7 @@ import corpus_pipeline
 from __spark_entry__ import queries
 from check import compare, connect
 from tallywire.llm import lm_scoring as lm
+from tallywire.llm import near_dedup as near
 from tallywire.llm.near_dedup import drop_near_duplicates, linked, near_duplicate_groups
 from tallywire.llm.queries import ORACLE_SQL, QUERIES
 from tallywire.llm.recompression import remove_repeats
@@ -165,6 +166,34 @@ def test_near_duplicates(frame, hard, block):
     assert near_duplicate_groups(frame([])).count() == drop_near_duplicates(frame([])).count() == 0
 
 
+def template_family(templates, others, seed=3):
+    """Texts that share a long template: two nearly only that, many with much of their own."""
+    rng, docs, pairs = random.Random(seed), [], []
+    for t in range(templates):
+        words = [f"t{t}w{n}" for n in range(100)]
+        pairs.append((len(docs), len(docs) + 1))
+        for own in [8, 8, *[70] * others]:
+            docs.append(" ".join(words + [f"o{rng.randrange(10 ** 9)}" for _ in range(own)]))
+    return list(enumerate(docs)), pairs
+
+
+def test_two_alike_among_many_with_the_same_template_are_found(frame):
+    rows, pairs = template_family(3, 400)
+    got = near_duplicate_groups(frame(rows), words=3, percent=85, band_block=100)
+    found = {r.id: r.component_id for r in got.where("id <> component_id").collect()}
+    assert found == {b: a for a, b in pairs}
+
+
+def test_nodes_of_a_band_whose_pivot_is_unlike_both_are_compared(spark):
+    alone = [[i * 0x0123456789ABCDE % (1 << 62)] * 16 for i in range(3, 9)]
+    rows = [(i, [7] * near.BANDS, sketch) for i, sketch in enumerate(alone)]
+    rows += [(20, [7] * near.BANDS, [5] * 16), (21, [7] * near.BANDS, [5] * 16)]
+    nodes = spark.createDataFrame(rows, "node long, bands array<long>, sketch array<long>")
+    for block in (2, 100):
+        got = near._clusters(nodes, 85, block).collect()
+        assert sorted(got) == [(20, 20), (21, 20)]
+
+
 def test_links_within_and_between_blocks():
     sets = [np.array(s, np.uint64) for s in ([1, 2, 3, 4], [1, 2, 3, 4, 5], [1, 2, 3, 5, 6], [9])]
     assert list(linked(sets, 0, 80)) == [(0, 1)]
