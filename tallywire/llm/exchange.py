@@ -72,6 +72,7 @@ def questions(chunk: int, keys: np.ndarray, counts: np.ndarray, lows: np.ndarray
               ) -> Iterator[dict]:
     """Rows that ask about sorted distinct keys: own counts, and own lowest values if given."""
     borders = bucket_borders(keys, bits)
+    # A chunk has less than 2^31 of anything, as it is some MB and the rest of one text.
     counts = np.minimum(counts, _MOST).astype(np.uint32)
     for bucket in np.flatnonzero(np.diff(borders)).tolist():
         part = slice(borders[bucket], borders[bucket + 1])
@@ -103,13 +104,19 @@ def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new), number
 
 
-def totals(asked: DataFrame, number: int, summary: Callable | None = None) -> DataFrame:
+def totals(asked: DataFrame, number: int, summary: Callable | None = None, kind: type = np.uint32
+           ) -> DataFrame:
     """Replies to the questions of a round: per key twice its total, plus 1 if the own low is lowest.
 
+    As 32-bit numbers totals end at 2^31 - 1, which then stands for that many or more; as
+    ``np.uint64`` they are exact.
+
     ``summary(totals, lows)`` of a bucket's distinct keys gives an array that is returned for
     each bucket as the reply to chunk -1.
     """
 
+    most = int(np.iinfo(kind).max) >> 1
+
     def add(table: pa.Table) -> pa.Table:
         keys, borders = _joined(table.column("keys"), np.uint64)
         counts, _ = _joined(table.column("counts"), np.uint32)
@@ -117,10 +124,9 @@ def totals(asked: DataFrame, number: int, summary: Callable | None = None) -> Da
         order, firsts, of = grouped(keys)
         total = np.add.reduceat(counts[order].astype(np.int64), firsts)
         lowest = np.minimum.reduceat(lows[order], firsts) if len(lows) else None
-        reply = np.minimum(total, _MOST)[of] << 1
+        reply = np.minimum(total, most)[of].astype(kind) << kind(1)
         if lowest is not None:
-            reply |= lows == lowest[of]
-        reply = reply.astype(np.uint32)
+            reply |= (lows == lowest[of]).astype(kind)
         rows = [{"chunk": chunk, "bucket": bucket, "round": number,
                  "reply": reply[borders[i]:borders[i + 1]].tobytes()}
                 for i, (chunk, bucket) in enumerate(zip(table.column("chunk").to_pylist(),
@@ -134,12 +140,15 @@ def totals(asked: DataFrame, number: int, summary: Callable | None = None) -> Da
     return rows.groupBy("bucket").applyInArrow(add, REPLIES)
 
 
-def answers(replies: pa.Table, number: int) -> tuple[np.ndarray, np.ndarray]:
-    """Totals, and whether the own low was lowest, of a chunk's sorted distinct keys in a round."""
+def answers(replies: pa.Table, number: int, kind: type = np.uint32) -> tuple[np.ndarray, np.ndarray]:
+    """Totals, and whether the own low was lowest, of a chunk's sorted distinct keys in a round.
+
+    ``kind`` is that of the ``totals``.
+    """
     own = sorted((row["bucket"], row["reply"]) for row in replies.to_pylist()
                  if row["round"] == number)
-    reply = np.frombuffer(b"".join(r for _, r in own), np.uint32)
-    return (reply >> 1).astype(np.int64), (reply & 1).astype(bool)
+    reply = np.frombuffer(b"".join(r for _, r in own), kind)
+    return (reply >> kind(1)).astype(np.int64), (reply & kind(1)).astype(bool)
 
 
 def column_texts(batch: pa.RecordBatch) -> tuple[list, np.ndarray, np.ndarray]:

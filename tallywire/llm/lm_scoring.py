@@ -134,7 +134,7 @@ class Coded:
         self.ids, self.rows = row["ids"], np.frombuffer(row["offsets"], np.int64)
         self.held = np.frombuffer(row["counts"], bool)
         shape = np.frombuffer(row["lows"], np.uint8)
-        self.count, _ = answers(replies, 1)
+        self.count, _ = answers(replies, 1, np.uint64)
         own = vocabulary.classes[cell(self.count, shape)].astype(np.int32)
         self.token = unpack_numbers(row["texts"], int(self.rows[-1]))
         self.classes = own[self.token]
@@ -234,6 +234,11 @@ def _encoded(docs: DataFrame, bits: int, chunk_bytes: int) -> DataFrame:
     return materialize(docs.mapInArrow(encode, CHUNKS), "lm-chunks", compression="zstd")
 
 
+def _counted(asked: DataFrame) -> DataFrame:
+    """Exact counts of the chunks' tokens, and sums by cell of the same counts."""
+    return materialize(totals(asked, 1, _cell_sums, np.uint64), "lm-replies", compression="zstd")
+
+
 def _vocabulary(replies: DataFrame) -> Vocabulary:
     """From the buckets' sums by cell, which Spark adds up; a row for each cell comes here."""
 
@@ -331,7 +336,7 @@ def score_documents(docs: DataFrame, held_out, *, id_col: str = "doc_id", text:
                        F.coalesce(held_out, F.lit(False)).alias("held"),
                        F.col(text).cast("string").alias("text"))
     asked = _encoded(rows, bits, chunk_bytes)
-    replies = materialize(totals(asked, 1, _cell_sums), "lm-replies", compression="zstd")
+    replies = _counted(asked)
     chunks = asked.where("bucket = -1").drop("bucket")
     vocabulary = _vocabulary(replies)
     shared = Shared(spark, (_trained(chunks, replies, vocabulary, rounds), vocabulary))

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from __spark_entry__ import queries
 from check import compare, connect
 from tallywire.llm import lm_scoring as lm
 from tallywire.llm import near_dedup as near
+from tallywire.llm.exchange import CHUNK_SCHEMA, batch_of, questions
 from tallywire.llm.near_dedup import drop_near_duplicates, linked, near_duplicate_groups
 from tallywire.llm.queries import ORACLE_SQL, QUERIES
 from tallywire.llm.recompression import remove_repeats
@@ -224,6 +226,24 @@ def test_language_model(frame, hard):
     assert math.isfinite(alone.score)
 
 
+def test_counts_above_32_bits_are_exact_and_in_the_class_that_has_their_mass(spark):
+    keys, shapes = np.array([5, 1 << 63], np.uint64), np.array([3, 4], np.uint8)
+    rows = []
+    for chunk in range(40):
+        rows += [{"chunk": chunk, "bucket": -1, "ids": [chunk], "offsets": np.array([0, 2]).tobytes(),
+                  "texts": lm.pack_numbers(np.array([0, 1])), "keys": np.zeros(2, np.uint16).tobytes(),
+                  "counts": np.array([False]).tobytes(), "lows": shapes.tobytes()},
+                 *questions(chunk, keys, np.array([2_000_000_000, 7]), shapes.astype(np.int64), 3)]
+    asked = spark.createDataFrame(pa.Table.from_batches([batch_of(rows, CHUNK_SCHEMA)]))
+    replies = lm._counted(asked)
+    known = lm._vocabulary(replies)
+    assert (known.n, known.v) == (80_000_000_280, 2)
+    coded = lm.Coded(rows[0], replies.where("chunk = 0").toArrow(), known)
+    assert coded.count.tolist() == [80_000_000_000, 280]
+    assert known.class_n[coded.classes].tolist() == [80_000_000_000, 280]
+    assert known.base(coded.count)[0] == pytest.approx(0, abs=1e-6)
+
+
 def test_probabilities_add_up_to_one():
     shapes = np.arange(40) % lm.SHAPES
     counts = np.array([1, 2, 50, 7] * 10)
