@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallywire.llm.automaton import Alphabet, SuffixAutomaton, known_runs
 from tallywire.llm.shared import Shared
 from tallywire.llm.text import (
-    NOT_PLAIN, in_slabs, list_column, lower_ascii, strings, text_bytes, word_hashes, word_ranges,
+    NOT_PLAIN, in_slabs, list_column, lower_ascii, slabs, strings, text_bytes, word_hashes, word_ranges,
 )
 from tallywire.storage import materialize
 
@@ -114,12 +114,32 @@ def merge_into(spans: list[list[int]], first: int, end: int) -> None:
     spans.append([first, end])
 
 
-def _item_blocks(items: DataFrame, item_id: str, text: str, block_words: int) -> DataFrame:
-    """Items with a ``block``: running word counts over ranges of equal size, cut at the bound."""
-    size = F.length(F.coalesce(F.col(text), F.lit("")))
+def _pieces(items: DataFrame, window: int, most: int) -> DataFrame:
+    """Items (``name, text``) in pieces of ``most`` words that together have the same windows."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slabs(batches, 1):
+            starts, ends, rows, _, offsets = _words(batch.column(1))
+            data = text_bytes(batch.column(1))[0].tobytes()
+            for row, name in enumerate(batch.column(0).to_pylist()):
+                first, stop = int(rows[row]), int(rows[row + 1])
+                heads = range(first, max(first + 1, stop - window + 1), most - window + 1)
+                parts = [data[starts[at]:ends[min(at + most, stop) - 1]] for at in heads
+                         if first < stop]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(parts), pa.string()), strings(parts)], ["name", "text"])
+
+    return items.mapInArrow(cut, "name string, text string")
+
+
+def _item_blocks(items: DataFrame, item_id: str, text: str, window: int, block_words: int):
+    """Distinct pieces of items with a ``block``, dealt by hash, and the number of blocks."""
     named = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("name"),
-                         F.col(text).alias("text"), size.alias("size"))
-    total = named.agg(F.sum("size")).first()[0] or 0
+                         F.col(text).cast("string").alias("text"))
+    # Small beside a block, so that blocks are of about equal size.
+    most = max(2 * window, block_words // 16)
+    named = materialize(_pieces(named, window, most).distinct(), "items")
+    total = named.agg(F.sum(F.length("text"))).first()[0] or 0
     # A word and what separates it take two characters at least.
     blocks = max(1, -(-total // (2 * block_words)))
     return named.withColumn("block", F.pmod(F.xxhash64("name", "text"), F.lit(blocks))), blocks
@@ -130,14 +150,15 @@ def match_items(docs: DataFrame, items: DataFrame, *, text: str = "text",
                 block_words: int = BLOCK_WORDS, into: str = "match") -> DataFrame:
     """``docs`` with a struct ``into``: word count, maximal spans of hit words, item ids.
 
-    Items go to the tasks as automata over blocks of bounded size; documents are read
+    Items go to the tasks as automata over blocks of bounded size, repeated rows once and
+    long items in pieces that overlap by all but a word of a window; documents are read
     once for each block, and what a block finds is stored before the next. Null texts
     and texts without words have no spans; items without words match nothing; items
     with one id count once; a null item id is the empty name. An existing column named
     ``into`` is replaced.
     """
     spark = docs.sparkSession
-    named, blocks = _item_blocks(items, item_id, item_text, block_words)
+    named, blocks = _item_blocks(items, item_id, item_text, window, block_words)
     found = []
     for block in range(blocks):
         rows = named.where(F.col("block") == block).orderBy("name", "text").toArrow()

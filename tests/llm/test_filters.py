@@ -8,10 +8,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallywire.llm import toxicity as tox
 from tallywire.llm import warc
-from tallywire.llm.decontaminate import decontaminate, match_items
+from tallywire.llm.decontaminate import _item_blocks, decontaminate, match_items
 from tallywire.llm.exact_dedup import drop_exact_duplicates, duplicate_groups
 from tallywire.llm.inputs import fitted_grammar, fold, vocabulary
 from tallywire.llm.license_scan import PHRASES, scan_licenses
@@ -63,6 +64,23 @@ def test_matches_are_those_found_by_hand(spark, frame, hard, block_words):
     assert sorted(out, key=str) == sorted(want, key=str)
 
 
+def test_repeated_and_long_items_go_in_small_blocks(spark, frame):
+    long = " ".join(f"w{n * n % 911} Ünï{n % 7}," for n in range(2000))
+    items = spark.createDataFrame([("r", "one two three four five")] * 500 + [("l", long), ("n", None)],
+                                  "item_id string, text string")
+    pieces, blocks = _item_blocks(items, "item_id", "text", 4, 320)
+    held = [sum(len(plain(r.text)) for r in pieces.where(F.col("block") == b).collect())
+            for b in range(blocks)]
+    assert pieces.where("name = 'r'").count() == 1 and max(held) < 2 * 320
+    words = long.split()
+    texts = [" ".join(words[n:n + 4]) for n in range(0, 3900, 13)] + ["two three four five", "n"]
+    got = match_items(frame(list(enumerate(texts))), items, window=4,
+                      block_words=5000).select("doc_id", "match").collect()
+    assert {r.doc_id: r.match["items"] for r in got} == {
+        i: ["l"] if i < len(texts) - 2 else ["r"] if i == len(texts) - 2 else []
+        for i in range(len(texts))}
+
+
 def test_decontaminated_documents_keep_their_columns_and_lose_the_passages(spark, frame, hard):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     rows = [(20, "Keep this, W1 w2 w3 w4 w5 w6. And that text too."), (21, "a b c"), *hard]
