@@ -43,6 +43,8 @@ BUCKET_BYTES = 16 << 20
 # Chunks that one gradient task goes through before weights are averaged.
 UNIT_CHUNKS = 4
 _BLOCKS = 8
+# Units whose changes one task adds up; more are added up level by level.
+FAN = 32
 
 _END = np.uint64(0x6A09E667F3BCC909)
 _START = np.uint64(0xBB67AE8584CAA73B)
@@ -259,6 +261,45 @@ def _vocabulary(replies: DataFrame) -> Vocabulary:
     return Vocabulary.build(sums)
 
 
+CHANGES = "unit long, block int, change binary, touched binary"
+
+
+def averaged(changes: DataFrame, step: int, units: int, fan: int = FAN) -> DataFrame:
+    """Per block of weights, the mean change of each row over the units that met it.
+
+    ``changes`` are of units below ``units``, one of ``step``. They are added up in groups
+    of ``fan`` units at most, then the sums of ``fan`` groups, and so on, so what a task
+    holds doesn't grow with the input.
+    """
+
+    def add(first: bool, last: bool):
+        def added(group: pa.Table) -> pa.Table:
+            change = met = 0.0
+            for row in group.sort_by("unit").to_batches(max_chunksize=1):
+                own = np.frombuffer(row.column("change")[0].as_buffer(),
+                                    np.float32 if first else np.float64)
+                change = change + own.astype(np.float64)
+                met = met + np.frombuffer(row.column("touched")[0].as_buffer(),
+                                          bool if first else np.float64).astype(np.float64)
+            if last:
+                mean = change.reshape(len(met), -1) / np.maximum(met, 1)[:, None]
+                change = mean.astype(np.float32)
+            return pa.table({"unit": group.column("unit").slice(0, 1),
+                             "block": group.column("block").slice(0, 1),
+                             "change": pa.array([change.tobytes()], pa.binary()),
+                             "touched": pa.array([met.tobytes()], pa.binary())})
+        return added
+
+    first = True
+    while first or units > step:
+        step *= fan
+        group = F.floor(F.col("unit") / step).alias("group")
+        changes = changes.groupBy("block", group).applyInArrow(
+            add(first, step >= units), CHANGES)
+        first = False
+    return changes.select("block", "change")
+
+
 def _trained(chunks: DataFrame, replies: DataFrame, vocabulary: Vocabulary, rounds: int
              ) -> np.ndarray:
     """Weights after one pass over all training tokens, in ``rounds`` rounds.
@@ -288,20 +329,9 @@ def _trained(chunks: DataFrame, replies: DataFrame, vocabulary: Vocabulary, roun
                 "change": pa.array([c.tobytes() for c in change], pa.binary()),
                 "touched": pa.array([t.tobytes() for t in touched], pa.binary())})
 
-        def average(block: pa.Table) -> pa.Table:
-            change = np.zeros((KINDS * BUCKETS // _BLOCKS, CLASSES), np.float64)
-            met = np.zeros(len(change))
-            for row in block.sort_by("unit").to_pylist():
-                change += np.frombuffer(row["change"], np.float32).reshape(change.shape)
-                met += np.frombuffer(row["touched"], bool)
-            change /= np.maximum(met, 1)[:, None]
-            return pa.table({"block": block.column("block").slice(0, 1),
-                             "change": pa.array([change.astype(np.float32).tobytes()], pa.binary())})
-
         turn = F.pmod("unit", F.lit(rounds)) == number
         learned = own.where(turn).groupBy("unit").cogroup(said.where(turn).groupBy("unit"))
-        changes = (learned.applyInArrow(learn, "unit long, block int, change binary, touched binary")
-                   .groupBy("block").applyInArrow(average, "block int, change binary").collect())
+        changes = averaged(learned.applyInArrow(learn, CHANGES), rounds, units).collect()
         for row in changes:
             size = len(weights) // _BLOCKS
             weights[row["block"] * size:(row["block"] + 1) * size] += np.frombuffer(

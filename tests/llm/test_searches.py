@@ -244,6 +244,24 @@ def test_counts_above_32_bits_are_exact_and_in_the_class_that_has_their_mass(spa
     assert known.base(coded.count)[0] == pytest.approx(0, abs=1e-6)
 
 
+@pytest.mark.parametrize("fan", [3, 100])
+def test_changes_are_averaged_by_levels_of_bounded_groups(spark, fan):
+    random_ = np.random.default_rng(2)
+    changes = random_.normal(size=(41, 2, 6, 4)).astype(np.float32)
+    touched = random_.random((41, 2, 6)) < 0.5
+    changes[~touched] = 0
+    rows = [(2 * u + 1, b, changes[u, b].tobytes(), touched[u, b].tobytes())
+            for u in range(41) for b in range(2)]
+    mean = lm.averaged(spark.createDataFrame(rows, lm.CHANGES).repartition(5), 2, 83, fan)
+    levels = mean._jdf.queryExecution().analyzed().toString().count("FlatMapGroupsInArrow")
+    assert levels == (4 if fan == 3 else 1)
+    got = {r.block: np.frombuffer(r.change, np.float32).reshape(6, 4) for r in mean.collect()}
+    want = changes.astype(np.float64).sum(axis=0) / np.maximum(1, touched.sum(axis=0))[:, :, None]
+    assert sorted(got) == [0, 1]
+    for b in got:
+        np.testing.assert_allclose(got[b], want[b], rtol=1e-6)
+
+
 def test_probabilities_add_up_to_one():
     shapes = np.arange(40) % lm.SHAPES
     counts = np.array([1, 2, 50, 7] * 10)
