@@ -23,7 +23,7 @@ from tallywire.llm.exchange import (
     totals,
 )
 from tallywire.llm.shared import Shared
-from tallywire.llm.text import SPACES, mix, text_bytes, word_hashes, word_ranges
+from tallywire.llm.text import SPACES, lower_ascii, mix, text_bytes, word_hashes, word_ranges
 from tallywire.storage import materialize
 
 # Fixed value: what is added to a token's count.
@@ -53,9 +53,10 @@ _START = np.uint64(0xBB67AE8584CAA73B)
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes and shapes of all texts' tokens (words, then the end), and the texts' offsets.
 
-    A shape is a number below ``SHAPES`` from a word's last two bytes.
+    A-Z count as lower case. A shape is a number below ``SHAPES`` from a word's last two bytes.
     """
     data, offsets = text_bytes(column)
+    data = lower_ascii(data)
     begin, end, rows = word_ranges(data, offsets, SPACES)
     words = word_hashes(data, begin, end)
     last = data[end - 1].astype(np.uint64)
@@ -355,7 +356,7 @@ def score_documents(docs: DataFrame, held_out, *, id_col: str = "doc_id", text:
     """Per row: ``n_tokens, n_known, train_tokens, base_score, score`` (log10) and ``held_out``.
 
     The model learns from the rows where the boolean column ``held_out`` is false, or null.
-    Tokens are words split at ASCII white space, and an end. ``base_score`` is that of a
+    Tokens are words split at ASCII white space, with A-Z in lower case, and an end. ``base_score`` is that of a
     smoothed unigram model over all training tokens. Both know one more token than
     those counted, the unknown one; in ``score`` there is one for each class, and a token that
     wasn't counted is that of the class where words of its shape counted once are.

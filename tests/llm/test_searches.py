@@ -204,16 +204,18 @@ def test_links_within_and_between_blocks():
 
 
 def test_language_model(frame, hard):
-    rows = [(n, f"the cat {'sat on' if n % 2 else 'ran from'} the mat {n % 9}") for n in range(200)]
-    rows += hard + [(500, "unseen words"), (501, None)]
+    rows = [(n, f"{'The' if n % 3 else 'the'} cat {'sat on' if n % 2 else 'ran FROM'} the mat {n % 9}")
+            for n in range(200)]
+    rows += hard + [(500, "unseen words"), (501, None), (502, "É é ÀB àb THE")]
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(10)) == 0
     got = lm.score_documents(frame(rows), held, chunk_bytes=3000, bucket_bytes=2000).collect()
     is_held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0
-    counts = Counter(w for i, t in rows if not is_held(i) for w in [*(t or "").encode().split(), None])
+    split = lambda t: [*(t or "").encode().lower().split(), None]  # noqa: E731  A-Z alone
+    counts = Counter(w for i, t in rows if not is_held(i) for w in split(t))
     n, v = sum(counts.values()), len(counts)
     want = []
     for i, t in rows:
-        w = [*(t or "").encode().split(), None]
+        w = split(t)
         base = sum(math.log10((counts[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)
         want.append((str(i), is_held(i), len(w), sum(x in counts for x in w), n, round(base, 3)))
     assert sorted((str(r.id), r.held_out, r.n_tokens, r.n_known, r.train_tokens,
@@ -226,6 +228,32 @@ def test_language_model(frame, hard):
     assert math.isfinite(alone.score)
 
 
+_BASE_OF_LM = """
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') || [' '] AS w,
+    held FROM documents JOIN held USING (doc_id)),
+t AS (SELECT doc_id, held, unnest(w) AS word FROM d),
+c AS (SELECT word, count(*) AS c FROM t WHERE NOT held GROUP BY word),
+a AS (SELECT CAST(sum(c) AS BIGINT) AS n, count(*) AS v FROM c)
+SELECT doc_id, held, count(*) AS n_tokens, count(c) AS n_known, any_value(n) AS train_tokens,
+  round(sum(log10((coalesce(c, 0) + 0.1) / (n + 0.1 * (v + 1)))), 6) AS base_score
+FROM t LEFT JOIN c USING (word), a GROUP BY doc_id, held"""
+
+
+def test_language_model_counts_agree_with_sql(spark, small):
+    got = queries()["op1_lm_scoring"](spark, small).collect()
+    con = connect(small)
+    held = pa.table({"doc_id": [r.doc_id for r in got],
+                     "held": [zlib.crc32(str(r.doc_id).encode()) % 10 == 0 for r in got]})
+    con.register("held", held)
+    want = con.execute(_BASE_OF_LM).fetchall()
+    assert sorted((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens) for r in got) == sorted(
+        row[:5] for row in want)
+    base = {row[0]: row[5] for row in want}
+    assert all(r.base_score == pytest.approx(base[r.doc_id], abs=1e-5) for r in got)
+    assert all(r.score < 0 for r in got)
+
+
 def test_counts_above_32_bits_are_exact_and_in_the_class_that_has_their_mass(spark):
     keys, shapes = np.array([5, 1 << 63], np.uint64), np.array([3, 4], np.uint8)
     rows = []
