@@ -17,6 +17,7 @@ from tallywire.llm.near_dedup import near_duplicate_groups
 from tallywire.llm.packing import pack
 from tallywire.llm.recompression import remove_repeats
 from tallywire.llm.run_index import remove_repeated_bytes
+from tallywire.llm.spelling import damaged_words, spelling_variants
 from tallywire.llm.toxicity import THRESHOLD, score_toxicity
 from tallywire.llm.warc import read_warc, with_revisits, write_warc
 from tallywire.session import pin_utc
@@ -199,6 +200,44 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(documents, fold("doc_id", 10) == 0).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = damaged_words(table(spark, sf_dir, "documents"))
+    return spelling_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+# crc32 has no function there: its table is made by the rule, and its bytes from code points.
+ORACLE_SQL["op11_spelling_variants"] = """
+WITH RECURSIVE t AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)),
+runs AS (SELECT doc_id, word, count(*) AS n FROM (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\\x{00C0}-\\x{00FF}]+')) AS word FROM documents)
+  GROUP BY ALL),
+h AS (SELECT word, n, xor(list_reduce([4294967295] || flatten(list_transform(
+    string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || word, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, unicode(c) - 64] END)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM runs, t),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+  SELECT CASE WHEN h % 97 = 0 THEN word[:h % length(word)] || word[h % length(word) + 2:] ELSE word END
+    AS word, n FROM h) WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+v AS (SELECT word, i, word[:i - 1] || word[i + 1:] AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+near AS (
+  SELECT a.word, b.word AS near FROM v a JOIN v b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT v.word, w.word FROM v JOIN w ON v.rest = w.word
+  UNION SELECT w.word, v.word FROM v JOIN w ON v.rest = w.word),
+best AS (SELECT near.word, count(*) AS n_near, first(near ORDER BY n DESC, near) AS near, max(n) AS near_n
+  FROM near JOIN w ON w.word = near.near GROUP BY near.word),
+f AS (SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form,
+    CASE WHEN near_n >= 2 * n THEN near_n END AS form_n FROM w LEFT JOIN best USING (word)),
+chain AS (SELECT word, form, word AS root FROM f
+  UNION ALL SELECT chain.word, f.form, f.word FROM chain JOIN f ON f.word = chain.form),
+roots AS (SELECT word, root FROM chain WHERE form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN roots USING (word)"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
