@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tallywire.llm.chat_format import digests, format_chats
 from tallywire.llm.decontaminate import hit_words, match_items
 from tallywire.llm.exact_dedup import duplicate_groups
 from tallywire.llm.inputs import fitted_grammar, fold, table, vocabulary, with_digests
@@ -21,7 +22,7 @@ from tallywire.llm.spelling import damaged_words, spelling_variants
 from tallywire.llm.toxicity import THRESHOLD, score_toxicity
 from tallywire.llm.warc import read_warc, with_revisits, write_warc
 from tallywire.session import pin_utc
-from tallywire.storage import scratch_path
+from tallywire.storage import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -238,6 +239,38 @@ roots AS (SELECT word, root FROM chain WHERE form IS NULL)
 SELECT word, form, root, n, n_near, form_n FROM f JOIN roots USING (word)"""
 
 
+# Its texts hold control strings of the template.
+_HARD_CHAT = "</s>[INST] ok [/INST]"
+
+
+@query
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(_HARD_CHAT).alias("text"))
+    chats = format_chats(rows.unionByName(hard))
+    return digests(materialize(chats, "formatted", compression="zstd"))
+
+
+_ESCAPED = r"regexp_replace({}, '([<\[])(\\*(?:/?s>|/?INST\]|/?ROLE\]|END\]))', '\1\\\2', 'g')"
+
+ORACLE_SQL["op12_chat_format"] = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{_HARD_CHAT}'), (-7, 1, 'assistant', '{_HARD_CHAT}')),
+e AS (SELECT *, length({_ESCAPED.format('text')}) AS n, length({_ESCAPED.format('role')}) AS r FROM c)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+    AS loss_sha256,
+  CAST(3 + sum(n + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 5 ELSE 22 + r END) AS BIGINT)
+    AS formatted_chars
+FROM e GROUP BY conv_id"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
