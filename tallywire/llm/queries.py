@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tallywire.llm.ball_tree import rank_documents
 from tallywire.llm.chat_format import digests, format_chats
 from tallywire.llm.decontaminate import hit_words, match_items
 from tallywire.llm.exact_dedup import duplicate_groups
@@ -271,6 +272,33 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id"""
 
 
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = ("regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+
+ORACLE_SQL["op13_lexical_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS.format('text')} AS w FROM documents),
+a AS (SELECT count(*) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+q AS (SELECT item_id, term, count(*) AS times FROM (
+  SELECT DISTINCT item_id, text, unnest({_TERMS.format('text')}) AS term,
+    generate_subscripts({_TERMS.format('text')}, 1) AS place FROM benchmark) GROUP BY ALL),
+t AS (SELECT row, doc_id, n_terms, term, count(*) AS tf FROM (
+  SELECT row, doc_id, len(w) AS n_terms, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM t, a GROUP BY term, n),
+s AS (SELECT item_id, row, doc_id, CAST(sum(times * w.w * ((1000000000 * tf) //
+    (1000 * tf + 8 * (25 + (75 * n_terms * n) // l)))) AS BIGINT) AS score
+  FROM q JOIN t USING (term) JOIN w USING (term), a GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
