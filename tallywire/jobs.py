@@ -24,7 +24,7 @@ from tallywire.sources.messages import kafka_messages, landed_messages
 from tallywire.sources.polls import landed_responses
 from tallywire.storage import make_folder, materialize, scratch_run
 from tallywire.streaming.fanout import console_target, fan_out
-from tallywire.streaming.refresh import REFRESH_INTERVAL, running_counts, snapshot_sink
+from tallywire.streaming.refresh import REFRESH_INTERVAL, delta_sink, running_counts
 from tallywire.streaming.sinks import console_sink, json_sink, kafka_sink, parquet_sink
 
 # Per kind of count: key, count column, schema, plan, file format, stream writer, reader.
@@ -85,7 +85,7 @@ def refresh(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuer
     """Keep the number of windows per key of a growing sink up to date."""
     key, _, schema, _, fmt, _, _ = _KINDS[args.key]
     counts = running_counts(spark, args.sink, schema, key, fmt)
-    writer = snapshot_sink(counts, args.snapshots, args.checkpoint)
+    writer = delta_sink(counts, args.snapshots, args.checkpoint)
     with stateful(spark, args.partitions):
         return [_start(writer, args.once, REFRESH_INTERVAL)]
 

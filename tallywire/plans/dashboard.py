@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tallywire.operators.rollups import chart_data, data_status
-from tallywire.streaming.refresh import REFRESH_INTERVAL, running_counts, snapshot_sink
+from tallywire.streaming.refresh import REFRESH_INTERVAL, delta_sink, running_counts
 
 
 def bars_or_status(counts: DataFrame, key: str, count: str) -> tuple[DataFrame, DataFrame]:
@@ -25,4 +25,4 @@ def live_counts(
     every: str = REFRESH_INTERVAL,
 ) -> DataStreamWriter:
     counts = running_counts(spark, sink, schema, key)
-    return snapshot_sink(counts, path, checkpoint).trigger(processingTime=every)
+    return delta_sink(counts, path, checkpoint).trigger(processingTime=every)

@@ -12,14 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def parquet_directory(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    files = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)
+def parquet_directory(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """Part files of a folder, or of several."""
+    paths = [path] if isinstance(path, str) else path
+    if not paths:
+        return spark.createDataFrame([], schema)
+    files = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(*paths)
     return files.select(*schema.names)
 
 
 def json_directory(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType,
     skip_malformed: bool = True,
     pattern: str = "*.json",
@@ -32,6 +36,8 @@ def json_directory(
     no lines. Lines are decoded here and not by the JSON reader, which looks only at the
     columns a query needs and so would keep different lines for different queries.
     """
+    if not path:
+        return spark.createDataFrame([], schema)
     lines = spark.read.option("pathGlobFilter", pattern).text(path)
     broken = "_broken"
     while broken in schema.names:

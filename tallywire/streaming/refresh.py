@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from tallywire.commits import CommitLog
 from tallywire.storage import delete
 
 # Fixed value.
 REFRESH_INTERVAL = "2 minutes"
 
+# Changes are folded into the base when they are more than this share of it, or so many.
+FOLD_SHARE = 0.25
+MOST_DELTAS = 16
+# Refreshes whose folders stay, so that one still being read is not taken away.
+KEEP = 2
+
 
 def running_counts(
     spark: SparkSession, sink: str, schema: T.StructType, key: str, fmt: str = "parquet"
@@ -25,32 +35,77 @@ def running_counts(
     )
 
 
-def snapshot_sink(
-    counts: DataFrame, path: str, checkpoint: str, keep: int = 2
-) -> DataStreamWriter:
-    """Write the full result of each refresh to a folder of its own.
+def _merged(spark: SparkSession, path: str, entry: dict, schema: T.StructType) -> DataFrame:
+    """The rows of a base that no later change replaces, and the last change of each key."""
+    read = spark.read.schema(schema)
+    base = read.parquet(f"{path}/{entry['base']}")
+    if not entry["deltas"]:
+        return base
+    changes = reduce(DataFrame.unionByName, (
+        read.parquet(f"{path}/{name}").withColumn("_number", F.lit(number))
+        for number, name in enumerate(entry["deltas"])))
+    key = entry["key"]
+    rest = [F.col(name) for name in schema.names if name != key]
+    last = changes.groupBy(key).agg(F.max_by(F.struct(*rest), "_number").alias("_last")).select(
+        key, "_last.*")
+    # Changes are few beside the base, so the base is not shuffled but for the planner's choice.
+    kept = base.join(last.select(key), key, "left_anti")
+    return kept.unionByName(last).select(*schema.names)
+
+
+def delta_sink(counts: DataFrame, path: str, checkpoint: str, fold_share: float = FOLD_SHARE,
+               keep: int = KEEP) -> DataStreamWriter:
+    """Write, for each refresh, the keys whose counts it changed; readers merge.
 
-    The last ``keep`` refreshes stay, so that one still being read is not taken away.
+    Changes are folded into a new base when they have grown to ``fold_share`` of it, so
+    what is written stays in proportion to what changed. One entry of the folder's
+    log names the base and the changes since, and is written last: a refresh that was broken
+    off is not served, and one that comes again does nothing. ``counts`` has one key column,
+    its first.
     """
+    schema, key = counts.schema, counts.columns[0]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/refresh={batch_id}")
-        if batch_id >= keep:
-            delete(batch.sparkSession, f"{path}/refresh={batch_id - keep}")
+        spark = batch.sparkSession
+        log = CommitLog.of(spark, path)
+        if batch_id <= log.last():
+            return
+        before = log.latest() or {"key": key, "base": None, "base_rows": 0, "deltas": [], "delta_rows": 0}
+        name = f"delta={batch_id}-{uuid.uuid4().hex}"
+        batch.write.parquet(f"{path}/{name}")
+        rows = spark.read.schema(schema).parquet(f"{path}/{name}").count()
+        if before["base"] is None:
+            entry = before | {"base": name, "base_rows": rows}
+        elif rows:
+            entry = before | {"deltas": [*before["deltas"], name],
+                              "delta_rows": before["delta_rows"] + rows}
+        else:
+            entry = before
+        if entry["delta_rows"] > fold_share * entry["base_rows"] or len(entry["deltas"]) > MOST_DELTAS:
+            base = f"base={batch_id}-{uuid.uuid4().hex}"
+            _merged(spark, path, entry, schema).write.parquet(f"{path}/{base}")
+            base_rows = spark.read.schema(schema).parquet(f"{path}/{base}").count()
+            entry = entry | {"base": base, "base_rows": base_rows, "deltas": [], "delta_rows": 0}
+        # Folders that the entry gives up go ``keep`` refreshes later, when nobody reads them.
+        left = {before["base"], *before["deltas"], name} - {entry["base"], *entry["deltas"], None}
+        leaving = [*before.get("leaving", []), *([batch_id, old] for old in sorted(left))]
+        gone = [old for number, old in leaving if number <= batch_id - keep]
+        entry = entry | {"leaving": [[number, old] for number, old in leaving if old not in gone],
+                         "written": rows}
+        log.put(batch_id, entry)
+        for old in gone:
+            delete(spark, f"{path}/{old}")
 
     return (
-        counts.writeStream.outputMode("complete")
+        counts.writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(write)
     )
 
 
 def latest_snapshot(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The newest refresh that was written to its end; nothing if there is none yet."""
-    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/refresh=*/_SUCCESS")
-    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks) or []
-    folders = [mark.getPath().getParent() for mark in found]
-    if not folders:
+    """All counts as of the newest refresh that was written to its end; none if there is none yet."""
+    entry = CommitLog.of(spark, path).latest()
+    if entry is None:
         return spark.createDataFrame([], schema)
-    newest = max(folders, key=lambda folder: int(folder.getName().removeprefix("refresh=")))
-    return spark.read.schema(schema).parquet(newest.toString())
+    return _merged(spark, path, entry, schema)

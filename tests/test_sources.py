@@ -197,6 +197,24 @@ def test_a_stock_session_writes_to_its_warehouse(tmp_path):
     assert not any((tmp_path / "house/_scratch/tallywire").iterdir())
 
 
+def test_a_cluster_needs_a_folder_that_is_shared(spark, tmp_path, monkeypatch):
+    session = spark.newSession()
+    # Whatever this session names, as if it named nothing.
+    monkeypatch.setattr(storage, "_CHECKPOINT_DIR", "tallywire.no.such.setting")
+    session.conf.unset(storage.SCRATCH_DIR)
+    monkeypatch.setattr(storage, "_master", lambda spark: "spark://somewhere:7077")
+    with pytest.raises(ValueError, match="each machine's own disk"):
+        storage.shared_folder(session)
+    session.conf.set(storage.SCRATCH_DIR, str(tmp_path))
+    assert storage.materialize(session.range(5), "rows").count() == 5
+    read = storage._table
+    monkeypatch.setattr(storage, "_table", lambda *a: read(*a).where("id <> 3"))
+    with pytest.raises(RuntimeError, match="4 of 5 rows"):
+        storage.materialize(session.range(5), "rows")
+    monkeypatch.setattr(storage, "_master", lambda spark: "local[8]")
+    assert storage.materialize(session.range(5), "rows").count() == 4
+
+
 def test_a_run_deletes_its_own_scratch_tables_only(spark, tmp_path):
     outside = storage.materialize(spark.range(3), "stays")
     with storage.scratch_run(spark):
