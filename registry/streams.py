@@ -17,7 +17,7 @@ from registry.inputs import (
     CLEAN, CLOSED, COUNTS, FLAT_COLUMNS, JSON_TEXT, RAW, TYPED,
     clean_articles, counted, messages, poll_responses, written,
 )
-from tallywire.functions.event_time import parse_published_at
+from tallywire.functions.event_time import PUBLISHED_AT_FORMAT, parse_published_at
 from tallywire.functions.json_codec import encode_articles, message_text
 from tallywire.operators.clean import flatten_article
 from tallywire.operators.windowed import with_window_bounds
@@ -29,6 +29,7 @@ from tallywire.sources.messages import land_messages, landed_messages
 from tallywire.sources.polls import landed_articles
 from tallywire.storage import scratch_path
 from tallywire.streaming.fanout import CommittedBatches, directory_target, fan_out
+from tallywire.streaming.late import LateRows, late_messages
 from tallywire.streaming.refresh import delta_sink, latest_snapshot, running_counts
 from tallywire.streaming.sinks import json_sink, parquet_sink, run_available
 
@@ -139,6 +140,22 @@ def _(spark, sf):
     return _run_waves(spark, [later, earlier])
 
 
+@query("late_messages", f"""
+WITH {TYPED} SELECT {FLAT_COLUMNS} FROM typed WHERE ts < {_MIDDLE}""")
+def _(spark, sf):
+    # The same two halves; what the count of the second dropped, message by message.
+    earlier, later = _waves(spark, sf)
+    kept, checkpoint = scratch_path(spark, "late"), scratch_path(spark, "checkpoint")
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "by-source")
+    for wave in (later, earlier):
+        land_messages(wave, landing)
+        counts = source_counts(landed_messages(spark, landing))
+        with stateful(spark):
+            run_available(parquet_sink(counts, path, checkpoint), LateRows(spark, kept))
+    found = late_messages(spark, kept, checkpoint).drop("batch", "limit")
+    return found.withColumn("publishedAt", F.date_format("publishedAt", PUBLISHED_AT_FORMAT))
+
+
 @query("stream_fanout", f"""
 WITH {COUNTS}, closed AS (
   SELECT window_start, window_end, source_id, article_count FROM by_source WHERE {CLOSED})

@@ -1,13 +1,14 @@
-"""The jobs one runs: ingest, count, refresh, compact, index, ask. See ``python -m tallywire --help``."""
+"""The jobs one runs: ingest, count, late, refresh, compact, index, ask. See ``python -m tallywire --help``."""
 
 from __future__ import annotations
 
 import argparse
 import importlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tallywire.operators.rollups import total_per_key
@@ -24,9 +25,13 @@ from tallywire.sources.messages import kafka_messages, landed_messages
 from tallywire.sources.polls import landed_responses
 from tallywire.storage import make_folder, materialize, scratch_run
 from tallywire.streaming.fanout import console_target, fan_out
+from tallywire.streaming.late import LateRows, late_messages, recover
 from tallywire.streaming.refresh import REFRESH_INTERVAL, delta_sink, running_counts
 from tallywire.streaming.sinks import console_sink, json_sink, kafka_sink, parquet_sink
 
+# A running query, a table to show, or one that is there once all queries have ended.
+Result = StreamingQuery | DataFrame | Callable[[], DataFrame]
+
 # Per kind of count: key, count column, schema, plan, file format, stream writer, reader.
 _KINDS = {
     "source": ("source_id", "article_count", SOURCE_COUNTS, source_counts,
@@ -54,12 +59,18 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery
     return [_start(writer, args.once, POLL_INTERVAL)]
 
 
-def count(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
+def count(spark: SparkSession, args: argparse.Namespace) -> list[Result]:
     """Windowed counts of a message stream into a sink, optionally shown as well.
 
     The sink keeps a log of its files, which ``refresh`` follows. With ``--console`` a second
     query follows it too and prints what has been committed, so counts are computed once.
+    At its end the job prints how many rows were dropped as late; ``--late`` keeps a log of the
+    batches, from which the job ``late`` finds the messages.
     """
+    late = LateRows(spark, args.late)
+    if args.late:
+        recover(spark, args.late, args.checkpoint)
+    spark.streams.addListener(late)
     _, _, schema, plan, fmt, sink, _ = _KINDS[args.key]
     if args.messages:
         messages = landed_messages(spark, args.messages)
@@ -71,6 +82,7 @@ def count(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
         if args.console:
             started.append(_start(console_sink(articles_from_messages(messages)), args.once))
         started.append(_start(sink(counts, args.sink, args.checkpoint), args.once))
+        late.follow(started[-1])
         if args.console:
             if args.once:
                 started[-1].awaitTermination()
@@ -78,7 +90,20 @@ def count(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]
             shown = spark.readStream.schema(schema).format(fmt).load(args.sink)
             writer = fan_out(shown, [console_target()], f"{args.checkpoint}-console")
             started.append(_start(writer, args.once))
-    return started
+
+    def dropped() -> DataFrame:
+        late.wait()
+        spark.streams.removeListener(late)
+        return spark.createDataFrame([(late.total(),)], "late_rows long")
+
+    return [*started, dropped]
+
+
+def late(spark: SparkSession, args: argparse.Namespace) -> list[Result]:
+    """Write the landed messages that a count dropped as late to a folder, and show how many."""
+    recover(spark, args.late, args.checkpoint)
+    late_messages(spark, args.late, args.checkpoint).write.mode("overwrite").parquet(args.into)
+    return [spark.read.parquet(args.into).agg(F.count("*").alias("late_messages"))]
 
 
 def refresh(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
@@ -153,6 +178,7 @@ def parser() -> argparse.ArgumentParser:
     one_of(ingesting, responses="a folder of landed responses",
            fetch="module:function called with keyword, news source and language")
     counting = job(count, "--sink", "--checkpoint")
+    job(late, "--late", "--checkpoint", "--into")
     refreshing = job(refresh, "--sink", "--snapshots", "--checkpoint")
     compacting = job(compact, "--sink", "--into")
     compacting.add_argument("--before", help="a date; its day and later ones are left out")
@@ -166,6 +192,7 @@ def parser() -> argparse.ArgumentParser:
         stream(sub)
     for sub in (counting, refreshing, compacting, indexing, asking):
         sub.add_argument("--key", choices=sorted(_KINDS), required=True)
+    counting.add_argument("--late", help="a folder for the log of late rows")
     counting.add_argument("--console", action="store_true", help="also print articles and counts")
     return top
 
@@ -187,5 +214,5 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         results = args.run(spark, args)
         wait_for_all([result for result in results if isinstance(result, StreamingQuery)])
         for result in results:
-            if isinstance(result, DataFrame):
-                result.show(truncate=False)
+            if not isinstance(result, StreamingQuery):
+                (result if isinstance(result, DataFrame) else result()).show(truncate=False)

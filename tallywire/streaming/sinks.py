@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tallywire.streaming.late import LateRows
+
 
 def console_sink(df: DataFrame, truncate: bool = True) -> DataStreamWriter:
     return df.writeStream.format("console").outputMode("append").option("truncate", truncate)
@@ -40,32 +42,16 @@ def kafka_sink(messages: DataFrame, servers: str, topic: str, checkpoint: str) -
     )
 
 
-class LateRows:
-    """Aggregated rows that batches dropped for being behind the watermark.
-
-    A query remembers its last hundred batches only; ``see`` adds up what it has not seen
-    yet, so call it more often than once in so many batches.
-    """
-
-    def __init__(self):
-        self._by_batch: dict[tuple[str, int], int] = {}
-
-    def see(self, query: StreamingQuery) -> None:
-        for progress in query.recentProgress:
-            self._by_batch[(progress["runId"], progress["batchId"])] = sum(
-                operator["numRowsDroppedByWatermark"] for operator in progress["stateOperators"])
-
-    def total(self) -> int:
-        return sum(self._by_batch.values())
-
-
 def run_available(writer: DataStreamWriter, late: LateRows | None = None) -> StreamingQuery:
-    """Process everything there is, then stop; ``late`` gets the rows dropped on the way."""
-    query = writer.trigger(availableNow=True).start()
+    """Process everything there is, then stop; ``late`` is told of the rows dropped on the way."""
+    writer = writer.trigger(availableNow=True)
     if late is None:
+        query = writer.start()
         query.awaitTermination()
         return query
-    while not query.awaitTermination(0.2):
-        late.see(query)
-    late.see(query)
+    with late.listening(SparkSession.active()):
+        query = writer.start()
+        late.follow(query)
+        query.awaitTermination()
+        late.wait()
     return query

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallywire.jobs import _KINDS, main, parser, wait_for_all
+from tallywire.plans.ingest import messages_from_responses
 from tallywire.schemas import AUTHOR_COUNTS
 from tallywire.streaming.refresh import latest_snapshot
 
@@ -60,6 +61,25 @@ def test_console_shares_the_counts_with_the_sink(spark, folder, capsys):
     assert "Source: bbc, Number of articles: 1" in capsys.readouterr().out
 
 
+def test_late_messages_are_counted_and_kept(spark, folder, capsys):
+    late = [dict(ARTICLES[0], title=title) for title in ("late", "late too")]
+    (folder / "responses" / "2.txt").write_text(json.dumps({"articles": late}) + "\n")
+    command = ("count --key source --messages {}/waves --sink {}/waves-out --checkpoint {}/c7 --late {}/late "
+               "--once --partitions 2")
+    messages = spark.read.parquet(f"{folder}/messages")
+    messages.write.parquet(f"{folder}/waves")
+    run(spark, folder, command)
+    assert "|0        |" in capsys.readouterr().out
+    messages_from_responses(spark.read.text(f"{folder}/responses/2.txt")).write.mode("append").parquet(
+        f"{folder}/waves")
+    run(spark, folder, command)
+    assert "|1        |" in capsys.readouterr().out
+    run(spark, folder, "late --late {}/late --checkpoint {}/c7 --into {}/late-messages")
+    assert "|2            |" in capsys.readouterr().out
+    rows = spark.read.parquet(f"{folder}/late-messages").collect()
+    assert sorted(r.title for r in rows) == ["late", "late too"]
+
+
 def test_the_console_follows_what_refresh_follows(spark, folder):
     # Nothing counted twice, nothing beside the log.
     run(spark, folder, "refresh --key source --sink {}/both --snapshots {}/both-snapshots "

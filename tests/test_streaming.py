@@ -14,9 +14,10 @@ from tallywire.schemas import AUTHOR_COUNTS, SOURCE_COUNTS
 from tallywire.session import shuffle_partitions, stateful
 from tallywire.sources.directories import json_directory, parquet_directory
 from tallywire.streaming.fanout import console_target, directory_target, fan_out
+from tallywire.streaming.late import LateRows, late_messages, recover
 from tallywire.streaming.refresh import REFRESH_INTERVAL, latest_snapshot
 from tallywire.streaming.sinks import (
-    console_sink, json_sink, kafka_sink, parquet_sink, LateRows, run_available,
+    console_sink, json_sink, kafka_sink, parquet_sink, run_available,
 )
 
 
@@ -84,6 +85,42 @@ def test_late_rows_are_counted_beyond_what_a_query_remembers(spark, folders):
     assert len(query.recentProgress) <= 5 and late.total() == 9
 
 
+def test_every_late_message_of_many_batches_is_found(spark, folders, tmp_path):
+    source, out, checkpoint = folders
+    files = [[at(1)], [at(40)], [at(50)]]
+    files += [[at(2, author=f"late {n}"), at(3, author=f"late {n}, too"), message("no date")] if n % 3 == 0
+              else [at(50 + n % 5)] for n in range(150)]
+    land(source, files[:80])
+    kept = str(tmp_path / "late")
+
+    def counted(late):
+        with stateful(spark, 2):
+            run_available(parquet_sink(source_counts(messages(spark, source)), out, checkpoint), late)
+        return late
+
+    def found():
+        read = lambda paths: spark.read.text(paths)
+        rows = late_messages(spark, kept, checkpoint, read).collect()
+        assert all("10:05" <= f"{r.limit:%H:%M}" <= "10:44" for r in rows)
+        assert len({r.batch for r in rows}) == len(rows) // 2
+        return sorted(r.author for r in rows)
+
+    def told(end):
+        return sorted(f"late {n}{more}" for n in range(0, end, 3) for more in ("", ", too"))
+
+    late = counted(LateRows(spark, kept))
+    # The two messages of a file are one row of a partial count.
+    assert late.total() == 26 and found() == told(77)
+    land(source, files[80:120], start=80)
+    assert counted(LateRows()).total() == 13
+    # Reports lost with the driver come from the checkpoint.
+    recover(spark, kept, checkpoint)
+    land(source, files[120:], start=120)
+    assert counted(LateRows(spark, kept)).total() == 11
+    assert found() == told(150)
+    assert late_messages(spark, str(tmp_path / "none"), checkpoint).count() == 0
+
+
 def test_lateness_is_judged_by_the_previous_batch(spark, folders):
     source, out, checkpoint = folders
     land(source, [
