@@ -7,6 +7,7 @@ Within a wave any number of files and tasks take part.
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +31,7 @@ from tallywire.sources.polls import landed_articles
 from tallywire.storage import scratch_path
 from tallywire.streaming.fanout import CommittedBatches, directory_target, fan_out
 from tallywire.streaming.late import LateRows, late_messages
+from tallywire.streaming.publish import committed_messages, committed_sink
 from tallywire.streaming.refresh import delta_sink, latest_snapshot, running_counts
 from tallywire.streaming.sinks import json_sink, parquet_sink, run_available
 
@@ -82,6 +84,22 @@ def _(spark, sf):
     return parquet_directory(spark, path, T.StructType().add("value", T.StringType()))
 
 
+@query("publish_committed", f"WITH {CLEAN} SELECT {JSON_TEXT} AS value FROM clean")
+def _(spark, sf):
+    # The first run fails in one of its tasks after others have written; the second is whole.
+    landing, topic = scratch_path(spark, "landing"), scratch_path(spark, "topic")
+    checkpoint = scratch_path(spark, "checkpoint")
+    land_messages(messages(spark, sf).repartition(4), landing)
+    stream = landed_messages(spark, landing)
+    failed = F.raise_error(F.lit("a task attempt that fails on purpose")).cast("binary")
+    broken = stream.select(F.when(F.spark_partition_id() == 0, failed).otherwise(F.col("value")).alias("value"))
+    try:
+        _run(spark, committed_sink(broken, topic, checkpoint))
+    except StreamingQueryException:
+        _run(spark, committed_sink(stream, topic, checkpoint))
+    return committed_messages(spark, topic).select(message_text().alias("value"))
+
+
 @query("stream_windowed_source", _CLOSED_BY_SOURCE)
 def stream_windowed_source(spark, sf):
     path, checkpoint = scratch_path(spark, "by-source"), scratch_path(spark, "checkpoint")

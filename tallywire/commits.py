@@ -7,6 +7,8 @@ step, which of them count. Whatever no entry names was never written, as far as
 from __future__ import annotations
 
 import json
+import os
+import re
 import uuid
 from typing import Any, Protocol
 
@@ -72,8 +74,11 @@ class ArrowFolder:
     """The same for code without a session: tasks, and data sources on the driver."""
 
     def __init__(self, uri: str):
-        self._fs, self._path = pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:")
-                                                        else f"file://{uri}")
+        plain = re.fullmatch("(?:file:)?(/*[^:]*)", uri)
+        if plain:
+            self._fs, self._path = pafs.LocalFileSystem(), os.path.abspath(re.sub("^/+", "/", plain[1]))
+        else:
+            self._fs, self._path = pafs.FileSystem.from_uri(uri)
         self._fs.create_dir(self._path, recursive=True)
 
     def names(self) -> list[str]:
@@ -83,6 +88,14 @@ class ArrowFolder:
         with self._fs.open_input_stream(f"{self._path}/{name}") as stream:
             return stream.read()
 
+    def move(self, name: str, to: ArrowFolder) -> None:
+        """To another folder of the same file system."""
+        self._fs.move(f"{self._path}/{name}", f"{to._path}/{name}")
+
+    def create(self, name: str):
+        """A stream to write a file to."""
+        return self._fs.open_output_stream(f"{self._path}/{name}")
+
     def write(self, name: str, content: bytes) -> None:
         """All of it or nothing: under another name first."""
         hidden = f"{self._path}/.{name}-{uuid.uuid4().hex}"

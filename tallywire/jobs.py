@@ -26,6 +26,7 @@ from tallywire.sources.polls import landed_responses
 from tallywire.storage import make_folder, materialize, scratch_run
 from tallywire.streaming.fanout import console_target, fan_out
 from tallywire.streaming.late import LateRows, late_messages, recover
+from tallywire.streaming.publish import committed_messages, committed_sink
 from tallywire.streaming.refresh import REFRESH_INTERVAL, delta_sink, running_counts
 from tallywire.streaming.sinks import console_sink, json_sink, kafka_sink, parquet_sink
 
@@ -48,12 +49,16 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery
         client = importlib.import_module(module)
         # Sent as it is, so that workers need no copy of the module.
         cloudpickle.register_pickle_by_value(client)
-        responses = polled_responses(spark, getattr(client, function))
+        # Beside the checkpoint whose batches may be run again.
+        landing = args.landing or f"{args.checkpoint}-polls"
+        responses = polled_responses(spark, getattr(client, function), landing=landing)
     else:
         responses = landed_responses(spark, args.responses)
     messages = messages_from_responses(responses)
     if args.messages:
         writer = parquet_sink(messages, args.messages, args.checkpoint)
+    elif args.publish:
+        writer = committed_sink(messages, args.publish, args.checkpoint)
     else:
         writer = kafka_sink(messages, args.servers, args.topic, args.checkpoint)
     return [_start(writer, args.once, POLL_INTERVAL)]
@@ -74,6 +79,8 @@ def count(spark: SparkSession, args: argparse.Namespace) -> list[Result]:
     _, _, schema, plan, fmt, sink, _ = _KINDS[args.key]
     if args.messages:
         messages = landed_messages(spark, args.messages)
+    elif args.publish:
+        messages = committed_messages(spark, args.publish, stream=True)
     else:
         messages = kafka_messages(spark, args.servers, args.topic)
     counts = plan(messages)
@@ -166,6 +173,7 @@ def parser() -> argparse.ArgumentParser:
 
     def topic_or_folder(sub: argparse.ArgumentParser) -> None:
         sub.add_argument("--messages", help="a folder of message files instead of a topic")
+        sub.add_argument("--publish", help="a folder of committed batches instead of a topic")
         sub.add_argument("--servers")
         sub.add_argument("--topic")
 
@@ -177,6 +185,7 @@ def parser() -> argparse.ArgumentParser:
     ingesting = job(ingest, "--checkpoint")
     one_of(ingesting, responses="a folder of landed responses",
            fetch="module:function called with keyword, news source and language")
+    ingesting.add_argument("--landing", help="a shared folder for fetched responses, as long as needed")
     counting = job(count, "--sink", "--checkpoint")
     job(late, "--late", "--checkpoint", "--into")
     refreshing = job(refresh, "--sink", "--snapshots", "--checkpoint")

@@ -25,17 +25,21 @@ def polled_responses(
     keyword: str = KEYWORD,
     news_sources: str = NEWS_SOURCES,
     language: str = LANGUAGE,
+    landing: str | None = None,
 ) -> DataFrame:
-    """The responses of a search service as a stream, one poll per trigger."""
+    """The responses of a search service as a stream, one poll per trigger.
+
+    With ``landing``, a shared folder, a batch that is run again reads what it read before.
+    """
     source = poll_source(fetch)
     spark.dataSource.register(source)
-    return (
+    stream = (
         spark.readStream.format(source.name())
         .option("q", keyword)
         .option("sources", news_sources)
         .option("language", language)
-        .load()
     )
+    return (stream if landing is None else stream.option("landing", landing)).load()
 
 
 def messages_from_responses(responses: DataFrame) -> DataFrame:

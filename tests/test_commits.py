@@ -39,6 +39,9 @@ def test_an_entry_that_was_broken_off_is_none(tmp_path):
     folder.remove("x")
     folder.remove("x")
     assert folder.names() == []
+    folder.write("y", b"2")
+    for uri in (f"file:{tmp_path}/more", f"file://{tmp_path}/more", os.path.relpath(tmp_path / "more")):
+        assert ArrowFolder(uri).read("y") == b"2"
 
 
 def frame(spark, *values):

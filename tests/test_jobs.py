@@ -101,6 +101,15 @@ def test_fetch_polls_a_service(spark, folder, tmp_path, monkeypatch):
     assert len(titles) == 10 and "nepal cnn en" in titles
 
 
+def test_a_topic_in_a_folder_serves_the_counts(spark, folder, capsys):
+    run(spark, folder, "ingest --responses {}/responses --publish {}/topic --checkpoint {}/c8 --once")
+    for _ in range(2):
+        run(spark, folder, "count --key source --publish {}/topic --sink {}/from-topic --checkpoint {}/c9 "
+                           "--once --partitions 2")
+    run(spark, folder, "ask --key source --sink {}/from-topic")
+    assert "Source: bbc, Number of articles: 1" in capsys.readouterr().out
+
+
 @pytest.mark.parametrize("key, fmt", [("source", "parquet"), ("author", "json")])
 def test_compaction_keeps_every_row_of_closed_days(spark, tmp_path, key, fmt):
     _, _, schema, _, _, _, read = _KINDS[key]
