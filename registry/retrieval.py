@@ -16,8 +16,8 @@ from tallywire.operators.nearest import nearest, vector_table
 from tallywire.operators.rollups import total_per_key
 from tallywire.plans.answers import QUESTIONS, answer, totals_store
 from tallywire.plans.counting import author_counts, source_counts
-from tallywire.plans.store import attach_documents
-from tallywire.storage import scratch_path
+from tallywire.plans.store import DocumentStore, attach_documents
+from tallywire.storage import materialize, scratch_path
 
 # The questions: the mean vector of every label.
 _MEANS = """means AS (
@@ -186,7 +186,7 @@ def _(spark, sf):
 _ASKED = {"seven": "Author with Number of articles: 7", "named": "Author: author_42 and articles"}
 
 
-@query("store_asked_twice", f"""
+_ASKED_SQL = f"""
 WITH {COUNTS},
 questions AS (
   SELECT 'seven' AS question_id, '{_ASKED["seven"]}' AS question
@@ -194,12 +194,31 @@ questions AS (
 """ + ",".join(
     _answer_sql(f"{asked}_", "author", "Author", "by_author", "article_count_by_author", asked)
     for asked in _ASKED) + """
-SELECT * FROM seven_context UNION ALL SELECT * FROM named_context""")
+SELECT * FROM seven_context UNION ALL SELECT * FROM named_context"""
+
+
+@query("store_asked_twice", _ASKED_SQL)
 def _(spark, sf):
     # Embedded once; each question comes later and on its own.
     key, count = "author", "article_count_by_author"
     totals = total_per_key(author_counts(messages(spark, sf)), key, count)
     store = totals_store(totals, key, count, scratch_path(spark, "store"))
+    return _asked_twice(spark, store)
+
+
+@query("store_updated", _ASKED_SQL)
+def _(spark, sf):
+    # Totals change and some go; then they are as they were. Changed ones alone are embedded.
+    key, count, path = "author", "article_count_by_author", scratch_path(spark, "store")
+    totals = materialize(total_per_key(author_counts(messages(spark, sf)), key, count), "totals")
+    kept = F.pmod(F.xxhash64(key), F.lit(3))
+    other = totals.where(kept > 0).withColumn(count, F.when(kept == 1, F.col(count) + 1).otherwise(F.col(count)))
+    for rows in (totals, other, totals):
+        store = totals_store(rows, key, count, path, update=True)
+    return _asked_twice(spark, store)
+
+
+def _asked_twice(spark: SparkSession, store: DocumentStore) -> DataFrame:
     first, second = (
         store.contexts(spark.createDataFrame([asked], "question_id string, question string"),
                        "question_id")

@@ -133,18 +133,18 @@ def index(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
     """Embed the totals of a sink as it is now, for many questions."""
     key, total, schema, _, _, _, read = _KINDS[args.key]
     totals = materialize(total_per_key(read(spark, args.sink, schema), key, total), "totals")
-    totals_store(totals, key, total, args.store)
+    totals_store(totals, key, total, args.store, update=args.update)
     return []
 
 
 def ask(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
-    """Context for a question from a store, or bars, status, context and exact answer of a sink."""
+    """Contexts for questions from a store, or bars, status, context and exact answer of a sink."""
     key, total, schema, _, _, _, read = _KINDS[args.key]
     if args.store:
         return [ask_store(DocumentStore(spark, args.store, "document_id"), key, args.question)]
     counts = read(spark, args.sink, schema)
     bars, status = bars_or_status(counts, key, total)
-    context, exact = answer(counts, key, total, args.question)
+    context, exact = answer(counts, key, total, args.question[0] if args.question else None)
     return [bars.orderBy("rank"), status, context, exact]
 
 
@@ -194,7 +194,10 @@ def parser() -> argparse.ArgumentParser:
     indexing = job(index, "--sink", "--store")
     asking = job(ask)
     one_of(asking, sink="a folder of counts", store="a folder written by index")
-    asking.add_argument("--question", help="instead of the one for the key")
+    asking.add_argument("--question", action="append",
+                        help="instead of the one for the key; a store takes several")
+    indexing.add_argument("--update", action="store_true",
+                          help="embed what changed since the store was built, if there is one")
     for sub in (ingesting, counting):
         topic_or_folder(sub)
     for sub in (ingesting, counting, refreshing):

@@ -21,6 +21,8 @@ DEFAULT_K = 4
 DISTANCE_DECIMALS = 6
 
 _BLOCK_BYTES = 16 << 20
+# So many questions are taken without measuring them first.
+_FEW = 512
 _MERGE_GROUPS = 64
 
 
@@ -55,6 +57,8 @@ def nearest(
     several blocks, each a further run over the corpus whose result is written before the
     next begins. A pass over a full block costs far more in products than in reading, so
     fewer passes would gain little and the memory of a task stays bounded by the block.
+    A few hundred questions of a bounded size are read once, checked where they are, and not
+    written.
     """
     spark = corpus.sparkSession
     asked = questions.where(F.col(vector).isNotNull()).select(question_id, vector)
@@ -66,6 +70,11 @@ def nearest(
         T.StructField("distance", T.DoubleType()),
     ])
 
+    rows = asked.limit(_FEW + 1).toArrow()
+    if rows.num_rows <= _FEW and rows.nbytes <= block_bytes // 2:
+        shared = spark.sparkContext.broadcast(_checked(rows, question_id, vector))
+        return _merge(_search(shared, searched, output, k), question_id, corpus_id, k)
+
     asked = materialize(asked, "questions")
     width, id_bytes = F.size(vector), F.octet_length(F.col(question_id).cast("string"))
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x)
@@ -107,6 +116,25 @@ def nearest(
     return spark.read.schema(ranked).parquet(answers).drop("block")
 
 
+def _checked(rows, question_id: str, vector: str) -> tuple:
+    """Ids and vectors of a few questions, which are refused as many would be."""
+    import numpy as np
+
+    ids = rows.column(question_id).to_pylist()
+    vectors = rows.column(vector).combine_chunks()
+    widths = np.unique(vectors.value_lengths().to_numpy(zero_copy_only=False))
+    if len(widths) > 1:
+        raise ValueError(f"question vectors have {widths[0]} to {widths[-1]} numbers")
+    flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    points = flat.reshape(len(ids), -1) if ids else flat
+    unusable = int((~np.isfinite(points)).any(axis=1).sum()) if ids else 0
+    if unusable:
+        raise ValueError(f"{unusable} question vectors hold NaN, infinity or null")
+    if len(set(ids)) < len(ids):
+        raise ValueError(f"{question_id} is not unique")
+    return ids, points
+
+
 def _share(block: DataFrame, question_id: str, vector: str) -> Broadcast:
     """Ids and vectors of a block whose size has been checked, on every executor."""
     rows = block.select(question_id, F.col(vector).cast("array<double>")).toArrow()

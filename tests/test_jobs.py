@@ -141,6 +141,15 @@ def test_a_store_takes_any_question(spark, folder, capsys):
         assert f"|Source: {source}," in capsys.readouterr().out
 
 
+def test_a_store_is_updated_and_takes_several_questions(spark, folder, capsys):
+    for _ in range(2):
+        run(spark, folder, "index --key source --sink {}/both --store {}/kept --update")
+    main(["ask", "--key", "source", "--store", f"{folder}/kept", "--question", "Source: cnn",
+          "--question", "Source: bbc"], spark)
+    shown = capsys.readouterr().out
+    assert "|source_id 1|" in shown and "|source_id 2|" in shown
+
+
 def test_an_empty_sink_has_a_status_and_no_answer(spark, folder, capsys):
     (folder / "empty").mkdir()
     run(spark, folder, "ask --key author --sink {}/empty")
