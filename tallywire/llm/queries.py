@@ -172,6 +172,24 @@ def op6_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+# Bytes as hexadecimal digits, two each; a window is 800 of them.
+ORACLE_SQL["op6_run_length_index"] = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, i, md5_number(substr(h, 2 * i + 1, 800)) AS g
+  FROM (SELECT r, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM d WHERE length(h) >= 800)),
+x AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY g) AS c FROM w) WHERE c > 1),
+s AS (SELECT r, i, CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 400 THEN 0 ELSE 1 END AS new FROM x),
+k AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS span FROM s),
+spans AS (SELECT r, span, min(i) AS a, max(i) + 400 AS b FROM k GROUP BY ALL),
+parts AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS after FROM spans),
+kept AS (SELECT r, sum(b - a) AS n_removed, count(*) AS n_spans,
+  string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS h
+  FROM parts JOIN d USING (r) GROUP BY r)
+SELECT doc_id, length(d.h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
+
+
 @query
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = near_duplicate_groups(table(spark, sf_dir, "documents"), words=3, percent=85)

@@ -68,6 +68,20 @@ def test_repeated_bytes(frame, hard, options):
                   for r in got) == without_repeated_bytes(rows, 60)
 
 
+def test_repeated_bytes_at_the_registered_parameters(frame, hard):
+    rng = random.Random(9)
+    words = [f"w{n}" for n in range(400)]
+    # Shared passages of 50 to 60 words below and above 400 bytes, and edges of exactly that.
+    short = [" ".join(rng.choices(words, k=55)) for _ in range(5)]
+    long = [" ".join(rng.choices(words, k=130)) for _ in range(5)] + ["x" * 399, "y" * 400, "z" * 401]
+    rows = hard + [(100 + n, " ".join([rng.choice(short), f"own{n} " * 9, rng.choice(long), str(n)]))
+                   for n in range(40)]
+    got = remove_repeated_bytes(frame(rows)).collect()
+    want = without_repeated_bytes(rows, 400)
+    assert sorted((str(r.id), r.n_bytes, r.n_removed, bytes(r.kept), len(r.spans)) for r in got) == want
+    assert max(len(p.encode()) for p in short) < 400 and sum(removed > 0 for _, _, removed, _, _ in want) > 20
+
+
 def test_the_run_index_gives_the_longest_match_elsewhere():
     rng = np.random.default_rng(3)
     text = np.append(rng.integers(5, 8, 400), [1])
