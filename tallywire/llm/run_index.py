@@ -269,7 +269,10 @@ def remove_repeated_bytes(docs: DataFrame, *, id_col: str = "doc_id", text: str
     by_chunk = chunks.groupBy("chunk")
     second = materialize(by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(compare, _SECOND),
                          "repeats-surroundings", compression="zstd")
-    marks = second.where("lefts is not null").groupBy("bucket").applyInArrow(mark, REPLIES)
+    # An index costs far more than its bytes tell, so shards are dealt out by number and not
+    # merged by size.
+    shards = second.where("lefts is not null").repartition(1 << bits, "bucket")
+    marks = shards.groupBy("bucket").applyInArrow(mark, REPLIES)
     said = (replies.unionByName(totals(second.where("lefts is null"), 2)).unionByName(marks))
     return by_chunk.cogroup(said.groupBy("chunk")).applyInArrow(finish, _RESULT)
 
