@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from registry import query
 from registry.inputs import COUNTS, messages, table, written
 from registry.text_sql import bucketed, idf, split_words, weighted
+from tallywire.operators.cells import CellIndex
 from tallywire.operators.documents import stuff_context
 from tallywire.operators.embed import embed_corpus
 from tallywire.operators.nearest import nearest, vector_table
@@ -118,6 +119,15 @@ def _(spark, sf):
     return _hits(spark, sf, block_bytes=6 * 64 * 8)
 
 
+@query("knn_cells",
+       f"WITH {_HITS} SELECT label, vec_id, distance, CAST(rank AS INTEGER) AS rank FROM hits")
+def _(spark, sf):
+    # The same neighbours from an index that every vector is in.
+    index = CellIndex(spark, scratch_path(spark, "cells"), "vec_id")
+    index.build(table(spark, sf, "embeddings"))
+    return index.search(_label_means(spark, sf), "label")
+
+
 def _damaged_hits(spark: SparkSession, sf: str, **options) -> DataFrame:
     first = F.when(F.col("vec_id") % 97 == 0, float("nan")).when(
         F.col("vec_id") % 89 == 0, float("inf")).otherwise(F.col("embedding")[0]).cast("float")
