@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import pickle
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +19,7 @@ from tallywire.llm.shared import Shared
 from tallywire.llm.text import (
     NOT_PLAIN, in_slabs, list_column, lower_ascii, slabs, strings, text_bytes, word_hashes, word_ranges,
 )
-from tallywire.storage import materialize
+from tallywire.storage import make_folder, materialize, scratch_path
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
@@ -83,21 +87,48 @@ class ItemMatcher:
             if longest:
                 yield at - longest, at
 
-    def match(self, column: pa.Array) -> pa.StructArray:
-        starts, ends, rows, hashes, offsets = _words(column)
+    def add_to(self, found: Found, words: tuple) -> None:
+        """The spans and items that this matcher finds among a column's words."""
+        _, _, rows, hashes, _ = words
         ids = self.alphabet.ids(hashes)
-        spans: dict[int, list[list[int]]] = defaultdict(list)
-        names: dict[int, set[str]] = defaultdict(set)
         for row, first, end in known_runs(ids, rows, self.least):
-            for begin, stop in self.run(ids[first:end].tolist(), names[row]):
-                merge_into(spans[row], first + begin, first + stop)
-        counts = [len(spans.get(row, ())) for row in range(len(column))]
-        flat = np.array([span for row in sorted(spans) for span in spans[row]],
+            for begin, stop in self.run(ids[first:end].tolist(), found.names[row]):
+                merge_into(found.spans[row], first + begin, first + stop)
+
+    def match(self, column: pa.Array) -> pa.StructArray:
+        found, words = Found(), _words(column)
+        self.add_to(found, words)
+        return found.column(words)
+
+
+class Found:
+    """Spans (first word, end) and item names by row."""
+
+    def __init__(self):
+        self.spans: dict[int, list[list[int]]] = defaultdict(list)
+        self.names: dict[int, set[str]] = defaultdict(set)
+
+    def add(self, other: Found) -> None:
+        """What another matcher found in the same column."""
+        for row, names in other.names.items():
+            self.names[row] |= names
+        for row, spans in other.spans.items():
+            own, both = self.spans[row], sorted(self.spans[row] + spans)
+            own.clear()
+            for first, end in both:
+                end = max(end, own[-1][1]) if own and own[-1][1] >= first else end
+                merge_into(own, first, end)
+
+    def column(self, words: tuple) -> pa.StructArray:
+        starts, ends, rows, _, offsets = words
+        n = len(rows) - 1
+        counts = [len(self.spans.get(row, ())) for row in range(n)]
+        flat = np.array([span for row in sorted(self.spans) for span in self.spans[row]],
                         np.int64).reshape(-1, 2)
-        of = np.repeat(np.arange(len(column)), counts)
+        of = np.repeat(np.arange(n), counts)
         fields = [flat[:, 0] - rows[of], flat[:, 1] - 1 - rows[of],
                   starts[flat[:, 0]] - offsets[of], ends[flat[:, 1] - 1] - offsets[of]]
-        found = [sorted(names.get(row, ())) for row in range(len(column))]
+        found = [sorted(self.names.get(row, ())) for row in range(n)]
         return pa.StructArray.from_arrays(
             [pa.array(np.diff(rows), pa.int64()),
              list_column(pa.StructArray.from_arrays(
@@ -151,32 +182,75 @@ def match_items(docs: DataFrame, items: DataFrame, *, text: str = "text",
     """``docs`` with a struct ``into``: word count, maximal spans of hit words, item ids.
 
     Items go to the tasks as automata over blocks of bounded size, repeated rows once and
-    long items in pieces that overlap by all but a word of a window; documents are read
-    once for each block, and what a block finds is stored before the next. Null texts
+    long items in pieces that overlap by all but a word of a window. One block is built here and
+    broadcast; several are built by tasks, stored, and read one by one by the tasks that go
+    through the documents, which are read once, however many blocks there are. Null texts
     and texts without words have no spans; items without words match nothing; items
     with one id count once; a null item id is the empty name. An existing column named
     ``into`` is replaced.
     """
     spark = docs.sparkSession
     named, blocks = _item_blocks(items, item_id, item_text, window, block_words)
-    found = []
-    for block in range(blocks):
-        rows = named.where(F.col("block") == block).orderBy("name", "text").toArrow()
-        matcher = Shared(spark, ItemMatcher(
-            rows.column("name").to_pylist(), rows.column("text").combine_chunks(), window))
-        column = into if blocks == 1 else f"{into}_{block}"
-        match = F.arrow_udf(_matching(matcher), _MATCH).asNondeterministic()
-        docs = docs.withColumn(column, match(F.col(text).cast("string")))
-        found.append(column)
-        if blocks > 1:
-            docs = materialize(docs, "decontaminate")
-    if blocks > 1:
-        spans = F.flatten(F.array(*(F.col(c)["spans"] for c in found)))
-        docs = docs.withColumn(into, F.struct(
-            F.col(found[0])["n_words"].alias("n_words"), merged_spans(spans).alias("spans"),
-            F.array_sort(F.array_distinct(F.flatten(F.array(
-                *(F.col(c)["items"] for c in found))))).alias("items"))).drop(*found)
-    return docs
+    if blocks == 1:
+        rows = named.orderBy("name", "text").toArrow()
+        shared = Shared(spark, _matcher(rows, window))
+        apply = _matching(shared)
+    else:
+        folder = _stored_matchers(named, blocks, window)
+        apply = _matching_all(folder, blocks)
+    match = F.arrow_udf(apply, _MATCH).asNondeterministic()
+    return docs.withColumn(into, match(F.col(text).cast("string")))
+
+
+def _matcher(rows: pa.Table, window: int) -> ItemMatcher:
+    return ItemMatcher(rows.column("name").to_pylist(), rows.column("text").combine_chunks(), window)
+
+
+def _stored_matchers(named: DataFrame, blocks: int, window: int) -> str:
+    """A folder with a file for each block that has items, built by as many tasks."""
+    folder = scratch_path(named.sparkSession, "decontaminate")
+    make_folder(named.sparkSession, folder)
+
+    def build(rows: pa.Table) -> pa.Table:
+        matcher = cloudpickle.dumps(_matcher(rows.sort_by([("name", "ascending"), ("text", "ascending")]), window))
+        block = rows.column("block")[0].as_py()
+        # Another attempt writes the same; a file is there as a whole or not at all.
+        fs, root = pafs.FileSystem.from_uri(_uri(folder))
+        hidden = f"{root}/.{block}-{uuid.uuid4().hex}"
+        with fs.open_output_stream(hidden) as stream:
+            stream.write(matcher)
+        fs.move(hidden, f"{root}/{block}")
+        return pa.table({"size": pa.array([len(matcher)], pa.int64())})
+
+    shards = named.repartition(blocks, "block").groupBy("block").applyInArrow(build, "size long")
+    shards.agg(F.sum("size")).collect()
+    return folder
+
+
+def _uri(folder: str) -> str:
+    return folder if ":" in folder else f"file://{folder}"
+
+
+def _matching_all(folder: str, blocks: int):
+    def match(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        fs, root = pafs.FileSystem.from_uri(_uri(folder))
+        for column in columns:
+            # A block is read once for a whole batch, and of a batch only what was found is kept.
+            batch = pa.RecordBatch.from_arrays([column], ["text"])
+            parts = [part.column(0) for part in slabs([batch], 0)]
+            found = [Found() for _ in parts]
+            for block in range(blocks):
+                if fs.get_file_info(f"{root}/{block}").type == pafs.FileType.NotFound:
+                    continue
+                with fs.open_input_stream(f"{root}/{block}") as stream:
+                    matcher = pickle.loads(stream.read())
+                for own, part in zip(found, parts):
+                    more = Found()
+                    matcher.add_to(more, _words(part))
+                    own.add(more)
+            done = [own.column(_words(part)) for own, part in zip(found, parts)]
+            yield pa.concat_arrays(done) if done else Found().column(_words(column))
+    return match
 
 
 def _matching(matcher):
@@ -187,20 +261,6 @@ def _matching(matcher):
     return match
 
 
-def merged_spans(spans):
-    """Spans of several blocks as maximal ones."""
-    def add(done, span):
-        last = F.element_at(done, -1)
-        joined = F.struct(
-            last["first"].alias("first"), F.greatest(last["last"], span["last"]).alias("last"),
-            last["first_byte"].alias("first_byte"),
-            F.greatest(last["end_byte"], span["end_byte"]).alias("end_byte"))
-        touches = (F.size(done) > 0) & (last["last"] + 1 >= span["first"])
-        return F.when(touches, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined))
-                      ).otherwise(F.concat(done, F.array(span)))
-    return F.aggregate(F.array_sort(spans), F.array().cast(f"array<{_SPAN}>"), add)
-
-
 def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
     data, offsets = text_bytes(texts)
     data, kept = data.tobytes(), []

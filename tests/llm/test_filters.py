@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -81,6 +82,24 @@ def test_repeated_and_long_items_go_in_small_blocks(spark, frame):
         for i in range(len(texts))}
 
 
+def test_many_blocks_read_the_documents_once(spark, frame, tmp_path):
+    rng = random.Random(8)
+    words = [f"v{n}" for n in range(300)]
+    items = [(n, " ".join(rng.choices(words, k=12))) for n in range(150)]
+    rows = [(n, " ".join([*rng.choices(words, k=8), rng.choice(items)[1], "x", rng.choice(items)[1][:30]]))
+            for n in range(60)]
+    frame(rows).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    assert _item_blocks(table, "item_id", "text", 4, 20)[1] > 50
+    many = match_items(docs, table, window=4, block_words=20)
+    one = match_items(docs, table, window=4)
+    assert sorted(many.collect()) == sorted(one.collect())
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
+    assert str(tmp_path / "docs") in many.inputFiles()[0]
+
+
 def test_decontaminated_documents_keep_their_columns_and_lose_the_passages(spark, frame, hard):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     rows = [(20, "Keep this, W1 w2 w3 w4 w5 w6. And that text too."), (21, "a b c"), *hard]
