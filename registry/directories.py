@@ -9,8 +9,9 @@ from registry.inputs import COUNTS, messages, written
 from tallywire.operators.windowed import with_window_bounds
 from tallywire.plans.compaction import compact
 from tallywire.plans.counting import author_counts, source_counts
+from tallywire.plans.totals import DayTotals
 from tallywire.schemas import AUTHOR_COUNTS, SOURCE_COUNTS
-from tallywire.sources.directories import json_directory, parquet_directory
+from tallywire.sources.directories import json_directory, json_rejects, parquet_directory
 from tallywire.storage import scratch_path
 
 _BY_AUTHOR = f"""
@@ -60,6 +61,38 @@ def _(spark, sf):
     return with_window_bounds(json_directory(spark, path, AUTHOR_COUNTS, pattern="*.txt"))
 
 
+@query("json_reject_kinds", f"""
+WITH {COUNTS}, kinds AS (SELECT CASE minute(window_start) % 20 WHEN 5 THEN 'no json' WHEN 10 THEN 'no object'
+    WHEN 15 THEN 'other type' END AS reject FROM by_author)
+SELECT reject, count(*) AS n_lines, true AS has_place FROM kinds WHERE reject IS NOT NULL GROUP BY reject""")
+def _(spark, sf):
+    line = F.to_json(F.struct("author", "window", "article_count_by_author"))
+    minute = F.minute("window.start") % 20
+    lines = author_counts(messages(spark, sf)).select(
+        F.when(minute == 5, line.substr(F.lit(1), F.length(line) - 3))
+        .when(minute == 10, F.concat(F.lit("["), line, F.lit("]")))
+        .when(minute == 15, F.to_json(F.struct("author", F.lit("noon").alias("window"))))
+        .otherwise(line).alias("value"))
+    path = written(lines, "damaged-sink", "text")
+    rejects = json_rejects(spark, path, AUTHOR_COUNTS, "*.txt")
+    placed = F.col("file").contains(path.rsplit("/", 1)[1]) & (F.length("line") > 0)
+    return rejects.groupBy("reject").agg(F.count("*").alias("n_lines"), F.bool_and(placed).alias("has_place"))
+
+
+@query("running_totals", f"""
+WITH {COUNTS} SELECT source_id, CAST(sum(article_count) AS BIGINT) AS article_count FROM by_source
+WHERE source_id IS NOT NULL GROUP BY source_id""")
+def _(spark, sf):
+    # A sink by day that grows by a part of its windows; the second refresh reads the days it grew in.
+    counts, days = source_counts(messages(spark, sf)), scratch_path(spark, "days")
+    kept = DayTotals(spark, days, scratch_path(spark, "totals"), SOURCE_COUNTS, "source_id", "article_count")
+    late = (F.dayofmonth("window.start") % 10 == 3) & (F.hour("window.start") >= 12)
+    for part in (counts.where(~late), counts.where(late)):
+        part.withColumn("day", F.to_date("window.start")).write.mode("append").partitionBy("day").parquet(days)
+        kept.refresh()
+    return kept.totals()
+
+
 @query("json_mixed_types", f"""
 WITH {COUNTS}, kept AS (
   SELECT * FROM by_author WHERE minute(window_start) % 15 = 0 AND author IS NOT NULL)

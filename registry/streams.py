@@ -7,6 +7,8 @@ Within a wave any number of files and tasks take part.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ from tallywire.operators.windowed import with_window_bounds
 from tallywire.plans.counting import author_counts, source_counts
 from tallywire.schemas import ARTICLE, AUTHOR_COUNTS, SOURCE_COUNTS
 from tallywire.session import stateful
-from tallywire.sources.directories import json_directory, parquet_directory
+from tallywire.sources.directories import day_rows, json_directory, parquet_directory
 from tallywire.sources.messages import land_messages, landed_messages
 from tallywire.sources.polls import landed_articles
 from tallywire.storage import scratch_path
@@ -34,6 +36,7 @@ from tallywire.streaming.late import LateRows, late_messages
 from tallywire.streaming.publish import committed_messages, committed_sink
 from tallywire.streaming.refresh import delta_sink, latest_snapshot, running_counts
 from tallywire.streaming.sinks import json_sink, parquet_sink, run_available
+from tallywire.streaming.state import whole_counts
 
 _CLOSED_BY_SOURCE = f"""
 WITH {COUNTS}
@@ -84,6 +87,31 @@ def _(spark, sf):
     return parquet_directory(spark, path, T.StructType().add("value", T.StringType()))
 
 
+@query("open_windows", f"""
+WITH {COUNTS} SELECT window_start, window_end, source_id, article_count, NOT ({CLOSED}) AS is_open
+FROM by_source""")
+def _(spark, sf):
+    # Written windows and those held back are together what a batch counts.
+    path, checkpoint = scratch_path(spark, "by-source"), scratch_path(spark, "checkpoint")
+    _run(spark, parquet_sink(source_counts(_landed(spark, sf)), path, checkpoint))
+    written = parquet_directory(spark, path, SOURCE_COUNTS)
+    return with_window_bounds(whole_counts(spark, written, checkpoint, SOURCE_COUNTS))
+
+
+_SECOND_DAY = "(SELECT CAST(min(ts) AS DATE) + 1 FROM typed)"
+
+
+@query("stream_sink_by_day", f"""
+WITH {COUNTS} SELECT author, window_start, window_end, article_count_by_author FROM by_author
+WHERE {CLOSED} AND CAST(window_start AS DATE) = {_SECOND_DAY}""")
+def _(spark, sf):
+    path, checkpoint = scratch_path(spark, "by-author"), scratch_path(spark, "checkpoint")
+    _run(spark, json_sink(author_counts(_landed(spark, sf)), path, checkpoint, by_day=True))
+    first = clean_articles(spark, sf).agg(F.min(F.to_date(parse_published_at("publishedAt")))).first()[0]
+    day = str(first + timedelta(days=1))
+    return with_window_bounds(day_rows(spark, path, AUTHOR_COUNTS, [day], "json").drop("day"))
+
+
 @query("publish_committed", f"WITH {CLEAN} SELECT {JSON_TEXT} AS value FROM clean")
 def _(spark, sf):
     # The first run fails in one of its tasks after others have written; the second is whole.

@@ -6,6 +6,7 @@ step, which of them count. Whatever no entry names was never written, as far as
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import re
@@ -47,6 +48,15 @@ class HadoopFolder:
             return []
         return [status.getPath().getName() for status in self._fs.listStatus(self._at(""))]
 
+    def has(self, name: str) -> bool:
+        return self._fs.exists(self._at(name))
+
+    def fingerprint(self) -> str:
+        """A text that is another one as soon as files come, go or are written anew."""
+        about = sorted(f"{s.getPath().getName()} {s.getLen()} {s.getModificationTime()}"
+                       for s in self._fs.listStatus(self._at("")) if s.isFile())
+        return hashlib.sha256("\n".join(about).encode()).hexdigest()
+
     def read(self, name: str) -> bytes:
         stream = self._fs.open(self._at(name))
         try:

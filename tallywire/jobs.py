@@ -1,4 +1,4 @@
-"""The jobs one runs: ingest, count, late, refresh, compact, index, ask. See ``python -m tallywire --help``."""
+"""The jobs one runs: ingest, count, late, windows, refresh, compact, totals, index, ask. See ``python -m tallywire --help``."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ from tallywire.plans.counting import articles_from_messages, author_counts, sour
 from tallywire.plans.dashboard import bars_or_status
 from tallywire.plans.ingest import POLL_INTERVAL, messages_from_responses, polled_responses
 from tallywire.plans.store import DocumentStore
+from tallywire.plans.totals import DayTotals
 from tallywire.schemas import AUTHOR_COUNTS, SOURCE_COUNTS
 from tallywire.session import pin_utc, stateful
 from tallywire.sources.directories import json_directory, parquet_directory
@@ -28,6 +29,7 @@ from tallywire.streaming.fanout import console_target, fan_out
 from tallywire.streaming.late import LateRows, late_messages, recover
 from tallywire.streaming.publish import committed_messages, committed_sink
 from tallywire.streaming.refresh import REFRESH_INTERVAL, delta_sink, running_counts
+from tallywire.streaming.state import whole_counts
 from tallywire.streaming.sinks import console_sink, json_sink, kafka_sink, parquet_sink
 
 # A running query, a table to show, or one that is there once all queries have ended.
@@ -88,7 +90,7 @@ def count(spark: SparkSession, args: argparse.Namespace) -> list[Result]:
     with stateful(spark, args.partitions):
         if args.console:
             started.append(_start(console_sink(articles_from_messages(messages)), args.once))
-        started.append(_start(sink(counts, args.sink, args.checkpoint), args.once))
+        started.append(_start(sink(counts, args.sink, args.checkpoint, args.by_day), args.once))
         late.follow(started[-1])
         if args.console:
             if args.once:
@@ -125,10 +127,26 @@ def refresh(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuer
 def compact(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
     """Rewrite the closed days of a sink into few files, in a folder of their own."""
     _, _, schema, _, fmt, _, read = _KINDS[args.key]
-    compact_counts(read(spark, args.sink, schema), args.into, fmt, args.before)
+    own = pin_utc(spark.newSession())
+    compact_counts(read(own, args.sink, schema), args.into, fmt, args.before)
     return []
 
 
+def totals(spark: SparkSession, args: argparse.Namespace) -> list[Result]:
+    """Totals of a sink that is written by day, from kept totals of the days that did not change."""
+    key, total, schema, _, fmt, _, _ = _KINDS[args.key]
+    kept = DayTotals(spark, args.sink, args.kept, schema, key, total, fmt)
+    kept.refresh()
+    return [kept.totals().orderBy(key)]
+
+
+def windows(spark: SparkSession, args: argparse.Namespace) -> list[Result]:
+    """All windows of a count, those not written yet as well."""
+    _, _, schema, _, _, _, read = _KINDS[args.key]
+    rows = whole_counts(spark, read(spark, args.sink, schema), args.checkpoint, schema)
+    return [rows.orderBy("window")]
+
+
 def index(spark: SparkSession, args: argparse.Namespace) -> list[DataFrame]:
     """Embed the totals of a sink as it is now, for many questions."""
     key, total, schema, _, _, _, read = _KINDS[args.key]
@@ -191,6 +209,8 @@ def parser() -> argparse.ArgumentParser:
     refreshing = job(refresh, "--sink", "--snapshots", "--checkpoint")
     compacting = job(compact, "--sink", "--into")
     compacting.add_argument("--before", help="a date; its day and later ones are left out")
+    totalling = job(totals, "--sink", "--kept")
+    showing = job(windows, "--sink", "--checkpoint")
     indexing = job(index, "--sink", "--store")
     asking = job(ask)
     one_of(asking, sink="a folder of counts", store="a folder written by index")
@@ -202,8 +222,9 @@ def parser() -> argparse.ArgumentParser:
         topic_or_folder(sub)
     for sub in (ingesting, counting, refreshing):
         stream(sub)
-    for sub in (counting, refreshing, compacting, indexing, asking):
+    for sub in (counting, refreshing, compacting, totalling, showing, indexing, asking):
         sub.add_argument("--key", choices=sorted(_KINDS), required=True)
+    counting.add_argument("--by-day", action="store_true", help="a folder of the sink for each day")
     counting.add_argument("--late", help="a folder for the log of late rows")
     counting.add_argument("--console", action="store_true", help="also print articles and counts")
     return top

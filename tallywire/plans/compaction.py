@@ -14,7 +14,9 @@ def compact(counts: DataFrame, path: str, fmt: str = "parquet", before: str | No
     ``before`` (a date) leaves later days out, as they may still grow; null windows never
     occur in a sink. Days already there are replaced and others are kept, so the job may
     run again. Rows are dealt out by day with as many tasks for each as its size asks
-    for, so a large day is no single task and a small one a single file.
+    for, so a large day is no single task and a small one a single file. While it runs the
+    session of ``counts`` has another size of partitions, so give it a session of its own
+    (``spark.newSession()``) where others use that one meanwhile.
     """
     spark = counts.sparkSession
     day = F.to_date("window.start")
