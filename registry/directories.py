@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from registry import query
@@ -111,11 +113,9 @@ def _(spark, sf):
     def read():
         return json_directory(spark, path, AUTHOR_COUNTS, pattern="*.txt")
 
-    figures = [read().agg(F.count("*").alias("n_lines")),
-               read().agg(F.sum("article_count_by_author").alias("n_articles")),
-               read().agg(F.count_distinct("window.start").alias("n_windows")),
-               read().agg(F.count_distinct("author").alias("n_authors"))]
-    first, *others = figures
-    for other in others:
-        first = first.join(other)
-    return first
+    # Each figure from a read of its own, in one row.
+    figures = {"n_lines": F.count("*"), "n_articles": F.sum("article_count_by_author"),
+               "n_windows": F.count_distinct("window.start"), "n_authors": F.count_distinct("author")}
+    rows = [read().agg(figure.alias(name)) for name, figure in figures.items()]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return every.agg(*(F.max(name).alias(name) for name in figures))
