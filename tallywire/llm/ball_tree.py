@@ -33,6 +33,8 @@ BLOCK_ITEMS = 1 << 10
 # Numbers in the centroids of one tree, and documents in it.
 _TREE_NUMBERS = 1 << 21
 _MOST_LEAVES = 256
+# Documents that one task searches: at least so many, and so many where there are enough.
+_TASK_DOCS = 8192, 262_144
 # More than the rounding errors of a product of BLOCK_TERMS non-negative doubles.
 _SLACK = 1e-9
 
@@ -374,7 +376,11 @@ def rank_documents(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
         df = _document_counts(tasks, len(queries.terms))
         weights = np.array([weight(n_docs, int(count)) if count else 0 for count in df], np.int64)
         width = max((len(terms) for terms, _ in queries.blocks), default=1)
-        hits = _searched(vectors.where("kind = 0"), Shared(spark, (queries, weights, n_docs, n_terms)),
+        # Searching costs far more than the vectors' bytes tell, so they are dealt out by number.
+        few, many = _TASK_DOCS
+        cores = spark.sparkContext.defaultParallelism
+        parts = max(1, min((n_docs or 0) // few, max(4 * cores, (n_docs or 0) // many)))
+        hits = _searched(vectors.where("kind = 0").repartition(parts), Shared(spark, (queries, weights, n_docs, n_terms)),
                          width, most, leaf, id_type)
         names = own.select(["item_id"]).append_column("item", pa.array(range(own.num_rows), pa.int64()))
         ranked = _merged(hits, most).join(F.broadcast(spark.createDataFrame(names, _item_shape(asked))), "item")
