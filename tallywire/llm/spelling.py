@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,9 +80,32 @@ def _strings(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array
     return pa.StringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(data[at]))
 
 
+def _cut_long(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows again, texts of more than ``limit`` bytes in pieces that no run crosses."""
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+        start = 0
+        for row in np.flatnonzero(size > limit).tolist():
+            if row > start:
+                yield batch.slice(start, row - start)
+            start = row + 1
+            data, _ = text_bytes(batch.column(1).slice(row, 1))
+            at = 0
+            while at < len(data):
+                end = min(at + limit, len(data))
+                # An ASCII character that is no letter ends a run and is a character of its own.
+                while end < len(data) and (data[end] >= 0x80 or _LETTERS[data[end] | 0x20]):
+                    end += 1
+                piece = pa.array([data[at:end].tobytes()], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, 1), piece], ["id", "text"])
+                at = end
+        if start < batch.num_rows:
+            yield batch.slice(start)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of enough letters and how often each occurs, slab by slab."""
-    for batch in slabs(batches, 1, _SLAB_BYTES):
+    for batch in slabs(_cut_long(batches, _SLAB_BYTES), 1, _SLAB_BYTES):
         data, offsets = text_bytes(batch.column(1))
         data = lower_ascii(data)
         lead = data == _LATIN

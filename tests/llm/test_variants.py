@@ -6,9 +6,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tallywire.llm.spelling import crc_after, damaged_words, near_words, spelling_variants
+from tallywire.llm.spelling import _cut_long, crc_after, damaged_words, near_words, spelling_variants
 
 
 def counted(rows, least=3):
@@ -76,6 +77,19 @@ def test_words_are_counted_over_whole_texts_and_damaged_alike(frame, hard):
     assert {r.word: r.n for r in got}.keys() > {"überall", "abcdef", "straße"}
 
 
+def test_long_texts_are_cut_between_runs():
+    rng = random.Random(1)
+    text = "".join(rng.choices("abcÀé×÷œ.-1 \n", k=5000)) + "z" * 3000 + "!" + "é" * 900 + " end"
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", "b", None, "d"]), pa.array(["x", text, None, "yy"])],
+                                       ["id", "text"])
+    for limit in (1, 7, 1000, 20_000):
+        rows = [(i, t) for part in _cut_long([batch], limit) for i, t in zip(*(c.to_pylist() for c in part.columns))]
+        assert "".join(t for i, t in rows if i == "b") == text
+        runs = [r for i, t in rows if i == "b" for r in re.findall("[A-Za-zÀ-ÿ]+", t)]
+        assert runs == re.findall("[A-Za-zÀ-ÿ]+", text)
+        assert [t for i, t in rows if i is None] == [None] and "".join(t for i, t in rows if i == "d") == "yy"
+
+
 def test_variants_of_nothing_and_of_one_word(spark, frame):
     assert damaged_words(frame([])).count() == 0
     none = spark.createDataFrame([], "word string, n long")
