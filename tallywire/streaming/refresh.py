@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -53,6 +53,13 @@ def _merged(spark: SparkSession, path: str, entry: dict, schema: T.StructType) -
     return kept.unionByName(last).select(*schema.names)
 
 
+def _written(rows: DataFrame, path: str) -> int:
+    """Write a new folder; the number of its rows, counted on the way."""
+    seen = Observation()
+    rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return seen.get["rows"]
+
+
 def delta_sink(counts: DataFrame, path: str, checkpoint: str, fold_share: float = FOLD_SHARE,
                keep: int = KEEP) -> DataStreamWriter:
     """Write, for each refresh, the keys whose counts it changed; readers merge.
@@ -72,8 +79,7 @@ def delta_sink(counts: DataFrame, path: str, checkpoint: str, fold_share: float
             return
         before = log.latest() or {"key": key, "base": None, "base_rows": 0, "deltas": [], "delta_rows": 0}
         name = f"delta={batch_id}-{uuid.uuid4().hex}"
-        batch.write.parquet(f"{path}/{name}")
-        rows = spark.read.schema(schema).parquet(f"{path}/{name}").count()
+        rows = _written(batch, f"{path}/{name}")
         if before["base"] is None:
             entry = before | {"base": name, "base_rows": rows}
         elif rows:
@@ -83,8 +89,7 @@ def delta_sink(counts: DataFrame, path: str, checkpoint: str, fold_share: float
             entry = before
         if entry["delta_rows"] > fold_share * entry["base_rows"] or len(entry["deltas"]) > MOST_DELTAS:
             base = f"base={batch_id}-{uuid.uuid4().hex}"
-            _merged(spark, path, entry, schema).write.parquet(f"{path}/{base}")
-            base_rows = spark.read.schema(schema).parquet(f"{path}/{base}").count()
+            base_rows = _written(_merged(spark, path, entry, schema), f"{path}/{base}")
             entry = entry | {"base": base, "base_rows": base_rows, "deltas": [], "delta_rows": 0}
         # Folders that the entry gives up go ``keep`` refreshes later, when nobody reads them.
         left = {before["base"], *before["deltas"], name} - {entry["base"], *entry["deltas"], None}
