@@ -21,6 +21,8 @@ from tallywire.llm.text import slabs, text_bytes
 
 MOST_BUCKETS = 1 << 16
 _MOST = (1 << 31) - 1
+# Keys of a bucket that are added up at a time.
+PART_KEYS = 1 << 22
 
 # One table holds the chunks themselves (bucket -1) and their questions.
 CHUNKS = ("chunk long, bucket int, ids array<long>, offsets binary, texts binary, "
@@ -87,10 +89,20 @@ def batch_of(rows: list[dict], schema: pa.Schema) -> pa.RecordBatch:
         schema=schema)
 
 
-def _joined(column: pa.ChunkedArray, kind) -> tuple[np.ndarray, np.ndarray]:
-    """Values of all rows end to end, and where each row's begin."""
-    parts = [np.frombuffer(value or b"", kind) for value in column.to_pylist()]
-    return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+def _arrays(column: pa.ChunkedArray, kind) -> list[np.ndarray]:
+    """The values of all rows, where they are; a null is none."""
+    buffers = (value.as_buffer() for chunk in column.chunks for value in chunk)
+    return [np.frombuffer(b if b is not None else b"", kind) for b in buffers]
+
+
+def _cuts(keys: list[np.ndarray]) -> np.ndarray:
+    """Keys that cut a bucket's into parts of about ``PART_KEYS``; hashed keys lie evenly."""
+    full = [k for k in keys if len(k)]
+    parts = -(-sum(map(len, full)) // PART_KEYS)
+    if parts < 2:
+        return np.zeros(0, np.uint64)
+    low, high = min(int(k[0]) for k in full), max(int(k[-1]) for k in full)
+    return np.array([low + (high - low) * part // parts for part in range(1, parts)], np.uint64)
 
 
 def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,28 +124,45 @@ def totals(asked: DataFrame, number: int, summary: Callable | None = None, kind:
     ``np.uint64`` they are exact.
 
     ``summary(totals, lows)`` of a bucket's distinct keys gives an array that is returned for
-    each bucket as the reply to chunk -1.
+    each bucket as the reply to chunk -1. A bucket is added up part by part of its keys, so that
+    arrays beside its lists are bounded; arrays of summaries are added.
     """
 
     most = int(np.iinfo(kind).max) >> 1
 
-    def add(table: pa.Table) -> pa.Table:
-        keys, borders = _joined(table.column("keys"), np.uint64)
-        counts, _ = _joined(table.column("counts"), np.uint32)
-        lows, _ = _joined(table.column("lows"), np.int64)
-        order, firsts, of = grouped(keys)
-        total = np.add.reduceat(counts[order].astype(np.int64), firsts)
-        lowest = np.minimum.reduceat(lows[order], firsts) if len(lows) else None
+    def part_totals(keys: list, counts: list, lows: list):
+        together = np.concatenate(keys)
+        order, firsts, of = grouped(together)
+        total = np.add.reduceat(np.concatenate(counts)[order].astype(np.int64), firsts)
+        low = np.concatenate(lows)
+        lowest = np.minimum.reduceat(low[order], firsts) if len(low) else None
         reply = np.minimum(total, most)[of].astype(kind) << kind(1)
         if lowest is not None:
-            reply |= (lows == lowest[of]).astype(kind)
-        rows = [{"chunk": chunk, "bucket": bucket, "round": number,
-                 "reply": reply[borders[i]:borders[i + 1]].tobytes()}
-                for i, (chunk, bucket) in enumerate(zip(table.column("chunk").to_pylist(),
-                                                        table.column("bucket").to_pylist()))]
-        if summary is not None:
-            rows.append({"chunk": -1, "bucket": rows[0]["bucket"], "round": number,
-                         "reply": summary(total, lowest).tobytes()})
+            reply |= (low == lowest[of]).astype(kind)
+        return reply, None if summary is None else summary(total, lowest)
+
+    def add(table: pa.Table) -> pa.Table:
+        keys = _arrays(table.column("keys"), np.uint64)
+        counts, lows = _arrays(table.column("counts"), np.uint32), _arrays(table.column("lows"), np.int64)
+        cuts = _cuts(keys)
+        places = [np.concatenate([[0], np.searchsorted(own, cuts), [len(own)]]) for own in keys]
+        replies, whole = [np.empty(len(own), kind) for own in keys], None
+        for part in range(len(cuts) + 1):
+            slices = [slice(place[part], place[part + 1]) for place in places]
+            if not any(s.stop > s.start for s in slices):
+                continue
+            reply, sums = part_totals(*([own[s] for own, s in zip(column, slices)]
+                                        for column in (keys, counts, lows)))
+            borders = np.cumsum([0, *(s.stop - s.start for s in slices)])
+            for own, s, first, end in zip(replies, slices, borders, borders[1:]):
+                own[s] = reply[first:end]
+            if sums is not None:
+                whole = sums if whole is None else whole + sums
+        buckets = table.column("bucket").to_pylist()
+        rows = [{"chunk": chunk, "bucket": bucket, "round": number, "reply": reply.tobytes()}
+                for chunk, bucket, reply in zip(table.column("chunk").to_pylist(), buckets, replies)]
+        if whole is not None:
+            rows.append({"chunk": -1, "bucket": buckets[0], "round": number, "reply": whole.tobytes()})
         return pa.Table.from_batches([batch_of(rows, REPLY_SCHEMA)])
 
     rows = asked.where("bucket >= 0").select("chunk", "bucket", "keys", "counts", "lows")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from __spark_entry__ import queries
 from check import compare, connect
+from tallywire.llm import exchange
 from tallywire.llm import lm_scoring as lm
 from tallywire.llm import near_dedup as near
 from tallywire.llm.exchange import CHUNK_SCHEMA, batch_of, questions
@@ -268,6 +269,19 @@ def test_language_model_counts_agree_with_sql(spark, small):
     assert all(r.score < 0 for r in got)
 
 
+def test_buckets_are_added_up_in_parts(frame, hard, monkeypatch):
+    rows = passages(2) + [(i, None if t is None else t[:2000]) for i, t in hard]
+    whole = {True: remove_repeats(frame(rows)).collect(),
+             False: lm.score_documents(frame(rows), F.lit(False)).collect()}
+    monkeypatch.setattr(exchange, "PART_KEYS", 7)
+    assert len(exchange._cuts([np.arange(100, dtype=np.uint64), np.zeros(0, np.uint64)])) == 14
+    key = lambda r: str(r[:3])
+    assert sorted(remove_repeats(frame(rows)).collect(), key=str) == sorted(whole[True], key=str)
+    for a, b in zip(*(sorted(rows_, key=key) for rows_ in (
+            whole[False], lm.score_documents(frame(rows), F.lit(False)).collect()))):
+        assert tuple(a)[:6] == tuple(b)[:6] and a.score == pytest.approx(b.score)
+
+
 def test_counts_above_32_bits_are_exact_and_in_the_class_that_has_their_mass(spark):
     keys, shapes = np.array([5, 1 << 63], np.uint64), np.array([3, 4], np.uint8)
     rows = []
