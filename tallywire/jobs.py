@@ -1,4 +1,4 @@
-"""The jobs one runs: ingest, count, late, windows, refresh, compact, totals, index, ask. See ``python -m tallywire --help``."""
+"""The jobs one runs: ingest, count, late, windows, rejects, refresh, compact, totals, index, ask. See ``python -m tallywire --help``."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tallywire.functions.json_codec import rejected_responses
 from tallywire.operators.rollups import total_per_key
 from tallywire.plans.answers import answer, ask_store, totals_store
 from tallywire.plans.compaction import compact as compact_counts
@@ -21,7 +22,7 @@ from tallywire.plans.store import DocumentStore
 from tallywire.plans.totals import DayTotals
 from tallywire.schemas import AUTHOR_COUNTS, SOURCE_COUNTS
 from tallywire.session import pin_utc, stateful
-from tallywire.sources.directories import json_directory, parquet_directory
+from tallywire.sources.directories import json_directory, json_rejects, parquet_directory
 from tallywire.sources.messages import kafka_messages, landed_messages
 from tallywire.sources.polls import landed_responses
 from tallywire.storage import make_folder, materialize, scratch_run
@@ -115,6 +116,14 @@ def late(spark: SparkSession, args: argparse.Namespace) -> list[Result]:
     return [spark.read.parquet(args.into).agg(F.count("*").alias("late_messages"))]
 
 
+def rejects(spark: SparkSession, args: argparse.Namespace) -> list[Result]:
+    """What was left out: polls without articles, or lines of a JSON sink, each with its file."""
+    if args.sink:
+        return [json_rejects(spark, args.sink, AUTHOR_COUNTS).orderBy("file", "line")]
+    responses = spark.read.text(args.responses).select("value", F.col("_metadata.file_path").alias("file"))
+    return [rejected_responses(responses, ["file"]).orderBy("file", "value")]
+
+
 def refresh(spark: SparkSession, args: argparse.Namespace) -> list[StreamingQuery]:
     """Keep the number of windows per key of a growing sink up to date."""
     key, _, schema, _, fmt, _, _ = _KINDS[args.key]
@@ -206,6 +215,7 @@ def parser() -> argparse.ArgumentParser:
     ingesting.add_argument("--landing", help="a shared folder for fetched responses, as long as needed")
     counting = job(count, "--sink", "--checkpoint")
     job(late, "--late", "--checkpoint", "--into")
+    one_of(job(rejects), responses="a folder of landed responses", sink="a folder of counts by author")
     refreshing = job(refresh, "--sink", "--snapshots", "--checkpoint")
     compacting = job(compact, "--sink", "--into")
     compacting.add_argument("--before", help="a date; its day and later ones are left out")

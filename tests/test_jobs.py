@@ -150,6 +150,20 @@ def test_a_store_is_updated_and_takes_several_questions(spark, folder, capsys):
     assert "|source_id 1|" in shown and "|source_id 2|" in shown
 
 
+def test_what_was_left_out_is_shown_with_its_file(spark, tmp_path, capsys):
+    (tmp_path / "responses").mkdir()
+    (tmp_path / "responses" / "9.txt").write_text(
+        json.dumps({"status": "error", "code": "rateLimited"}) + "\n" + json.dumps({"articles": []}) + "\n")
+    run(spark, tmp_path, "rejects --responses {}/responses")
+    shown = capsys.readouterr().out
+    assert "9.txt" in shown and "rateLimited" in shown and "articles" not in shown
+    (tmp_path / "sink").mkdir()
+    (tmp_path / "sink" / "a.json").write_text('{"author": "ann"}\n[1]\n')
+    run(spark, tmp_path, "rejects --sink {}/sink")
+    shown = capsys.readouterr().out
+    assert "a.json" in shown and "no object" in shown and "ann" not in shown
+
+
 def test_an_empty_sink_has_a_status_and_no_answer(spark, folder, capsys):
     (folder / "empty").mkdir()
     run(spark, folder, "ask --key author --sink {}/empty")
