@@ -227,7 +227,7 @@ def _undirected(s: str):
 def _trie_pairs(words: DataFrame, hot_rows: int) -> DataFrame:
     """``word, near`` of words one edit apart, from one side each."""
     spark = words.sparkSession
-    directed = materialize(_directed(words), "spelling")
+    directed = materialize(_directed(words), "spelling", partition_by="first")
     edges = materialize(_edges(directed), "spelling", partition_by="depth")
     span = directed.agg(F.min("first"), F.max("first")).first()
     level, last = (span[0], span[1]) if span[0] is not None else (1, 0)
