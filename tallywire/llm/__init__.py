@@ -1,4 +1,4 @@
-"""Preparing text for language models: ten operators over documents and pages.
+"""Preparing text for language models: thirteen operators over documents, pages and conversations.
 
 Functions of this package travel to executors by value, so a cluster's workers need
 numpy and pyarrow but no copy of the package.
