@@ -1,4 +1,4 @@
-"""The jobs one runs: ingest, count, late, windows, rejects, refresh, compact, totals, index, ask. See ``python -m tallywire --help``."""
+"""The jobs one runs, from polls to answers. See ``python -m tallywire --help``."""
 
 from __future__ import annotations
 

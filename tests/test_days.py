@@ -63,8 +63,9 @@ def test_totals_read_the_days_that_changed(spark, tmp_path):
             date'2024-01-{day:02d}' day""").write.mode("append").partitionBy("day").parquet(sink)
 
     kept = DayTotals(spark, sink, str(tmp_path / "kept"), SOURCE_COUNTS, "source_id", "article_count")
-    assert kept.totals().count() == 0 and DayTotals(
-        spark, str(tmp_path / "none"), str(tmp_path / "k2"), SOURCE_COUNTS, "source_id", "article_count").refresh() == []
+    nowhere = DayTotals(spark, str(tmp_path / "none"), str(tmp_path / "k2"), SOURCE_COUNTS, "source_id",
+                        "article_count")
+    assert kept.totals().count() == 0 and nowhere.refresh() == []
     for day in (1, 2, 3):
         add(day, "'cnn'", day)
         add(day, "cast(null as string)", 50)
