@@ -30,7 +30,7 @@ from tallywire.session import stateful
 from tallywire.sources.directories import day_rows, json_directory, parquet_directory
 from tallywire.sources.messages import land_messages, landed_messages
 from tallywire.sources.polls import landed_articles
-from tallywire.storage import scratch_path
+from tallywire.storage import materialize, scratch_path
 from tallywire.streaming.fanout import CommittedBatches, directory_target, fan_out
 from tallywire.streaming.late import LateRows, late_messages
 from tallywire.streaming.publish import committed_messages, committed_sink
@@ -228,7 +228,7 @@ def _(spark, sf):
     # The sink grows between three refreshes; each reads what was added and writes what changed.
     sink, path = scratch_path(spark, "by-source"), scratch_path(spark, "refreshes")
     checkpoint = scratch_path(spark, "checkpoint")
-    counts = source_counts(messages(spark, sf))
+    counts = materialize(source_counts(messages(spark, sf)), "counts")
     third = F.pmod(F.expr("unix_seconds(window.start) div 300"), F.lit(3))
     for part in range(3):
         counts.where(third == part).write.mode("append").parquet(sink)

@@ -19,6 +19,8 @@ REFRESH_INTERVAL = "2 minutes"
 # Changes are folded into the base when they are more than this share of it, or so many.
 FOLD_SHARE = 0.25
 MOST_DELTAS = 16
+# Fewer changed rows than this are merged on read for nothing, and not folded for their share.
+FOLD_ROWS = 10_000
 # Refreshes whose folders stay, so that one still being read is not taken away.
 KEEP = 2
 
@@ -61,11 +63,11 @@ def _written(rows: DataFrame, path: str) -> int:
 
 
 def delta_sink(counts: DataFrame, path: str, checkpoint: str, fold_share: float = FOLD_SHARE,
-               keep: int = KEEP) -> DataStreamWriter:
+               keep: int = KEEP, fold_rows: int = FOLD_ROWS) -> DataStreamWriter:
     """Write, for each refresh, the keys whose counts it changed; readers merge.
 
-    Changes are folded into a new base when they have grown to ``fold_share`` of it, so
-    what is written stays in proportion to what changed. One entry of the folder's
+    Changes are folded into a new base when they have grown to ``fold_share`` of it and to
+    ``fold_rows``, or are too many, so what is written stays in proportion to what changed. One entry of the folder's
     log names the base and the changes since, and is written last: a refresh that was broken
     off is not served, and one that comes again does nothing. ``counts`` has one key column,
     its first.
@@ -87,7 +89,8 @@ def delta_sink(counts: DataFrame, path: str, checkpoint: str, fold_share: float
                               "delta_rows": before["delta_rows"] + rows}
         else:
             entry = before
-        if entry["delta_rows"] > fold_share * entry["base_rows"] or len(entry["deltas"]) > MOST_DELTAS:
+        most = max(fold_rows, fold_share * entry["base_rows"])
+        if entry["delta_rows"] > most or len(entry["deltas"]) > MOST_DELTAS:
             base = f"base={batch_id}-{uuid.uuid4().hex}"
             base_rows = _written(_merged(spark, path, entry, schema), f"{path}/{base}")
             entry = entry | {"base": base, "base_rows": base_rows, "deltas": [], "delta_rows": 0}

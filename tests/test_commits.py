@@ -117,13 +117,18 @@ def test_a_refresh_writes_what_it_changed(spark, tmp_path, refresher):
 def test_changes_are_folded_and_old_folders_go(spark, tmp_path, refresher):
     path = str(tmp_path / "counts")
     for round_ in range(6):
-        entry, schema = refresher(keys(spark, 0, 40), fold_share=0.5, keep=1)
+        entry, schema = refresher(keys(spark, 0, 40), fold_share=0.5, keep=1, fold_rows=0)
         got = {r.n_windows for r in latest_snapshot(spark, path, schema).collect()}
         assert got == {round_ + 1} and entry["delta_rows"] <= 20
     folders = [f for f in os.listdir(path) if not f.startswith("_")]
     assert entry["base"] in folders and len(folders) <= 4
+    # Few rows are folded only when they are in too many folders.
+    for _ in range(3):
+        entry, _ = refresher(keys(spark, 0, 1))
+    assert len(entry["deltas"]) == 3 and entry["delta_rows"] == 3
+    assert {r.n_windows for r in latest_snapshot(spark, path, schema).collect()} == {6, 9}
     # Without news nothing is written.
     before = CommitLog.of(spark, path).last()
     entry, _ = refresher(keys(spark, 0, 0), keep=1)
-    assert entry["written"] in (0, 40) and CommitLog.of(spark, path).last() >= before
+    assert entry["written"] in (0, 1) and CommitLog.of(spark, path).last() >= before
     assert latest_snapshot(spark, path, schema).count() == 40
