@@ -5,7 +5,7 @@ from __future__ import annotations
 import pickle
 import uuid
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,10 @@ BLOCK_WORDS = 100_000
 
 _SPAN = "struct<first: bigint, last: bigint, first_byte: bigint, end_byte: bigint>"
 _MATCH = f"struct<n_words: bigint, spans: array<{_SPAN}>, items: array<string>>"
+_CLEANED = f"struct<n_words: bigint, spans: array<{_SPAN}>, rest: string>"
+
+# Made once in a task: from a text column to the column of its matches.
+Find = Callable[[pa.Array], pa.StructArray]
 
 
 def _words(column: pa.Array):
@@ -189,17 +193,25 @@ def match_items(docs: DataFrame, items: DataFrame, *, text: str = "text",
     with one id count once; a null item id is the empty name. An existing column named
     ``into`` is replaced.
     """
-    spark = docs.sparkSession
+    start = _finder(items, item_id, item_text, window, block_words)
+
+    def apply(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        find = start()
+        for column in columns:
+            yield find(column)
+
+    match = F.arrow_udf(apply, _MATCH).asNondeterministic()
+    return docs.withColumn(into, match(F.col(text).cast("string")))
+
+
+def _finder(items: DataFrame, item_id: str, item_text: str, window: int, block_words: int
+            ) -> Callable[[], Find]:
+    """What a task calls to get its ``Find``, after the items have been put where tasks find them."""
     named, blocks = _item_blocks(items, item_id, item_text, window, block_words)
     if blocks == 1:
         rows = named.orderBy("name", "text").toArrow()
-        shared = Shared(spark, _matcher(rows, window))
-        apply = _matching(shared)
-    else:
-        folder = _stored_matchers(named, blocks, window)
-        apply = _matching_all(folder, blocks)
-    match = F.arrow_udf(apply, _MATCH).asNondeterministic()
-    return docs.withColumn(into, match(F.col(text).cast("string")))
+        return _matching(Shared(items.sparkSession, _matcher(rows, window)))
+    return _matching_all(_stored_matchers(named, blocks, window), blocks)
 
 
 def _matcher(rows: pa.Table, window: int) -> ItemMatcher:
@@ -231,10 +243,11 @@ def _uri(folder: str) -> str:
     return folder if ":" in folder else f"file://{folder}"
 
 
-def _matching_all(folder: str, blocks: int):
-    def match(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _matching_all(folder: str, blocks: int) -> Callable[[], Find]:
+    def start() -> Find:
         fs, root = pafs.FileSystem.from_uri(_uri(folder))
-        for column in columns:
+
+        def find(column: pa.Array) -> pa.StructArray:
             # A block is read once for a whole batch, and of a batch only what was found is kept.
             batch = pa.RecordBatch.from_arrays([column], ["text"])
             parts = [part.column(0) for part in slabs([batch], 0)]
@@ -249,27 +262,30 @@ def _matching_all(folder: str, blocks: int):
                     matcher.add_to(more, _words(part))
                     own.add(more)
             done = [own.column(_words(part)) for own, part in zip(found, parts)]
-            yield pa.concat_arrays(done) if done else Found().column(_words(column))
-    return match
+            return pa.concat_arrays(done) if done else Found().column(_words(column))
+        return find
+    return start
 
 
-def _matching(matcher):
-    def match(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def _matching(matcher: Shared) -> Callable[[], Find]:
+    def start() -> Find:
         own = matcher.value()
-        for column in columns:
-            yield in_slabs(own.match, column)
-    return match
+        return lambda column: in_slabs(own.match, column)
+    return start
 
 
 def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    data, offsets = text_bytes(texts)
-    data, kept = data.tobytes(), []
-    for row, cuts in enumerate(spans.to_pylist()):
-        at, stop, parts = int(offsets[row]), int(offsets[row + 1]), []
-        for cut in cuts or ():
-            parts.append(data[at:int(offsets[row]) + cut["first_byte"]])
-            at = int(offsets[row]) + cut["end_byte"]
-        kept.append(b"".join([*parts, data[at:stop]]))
+    """The texts that have spans, without them; null for all others."""
+    hit = np.flatnonzero(np.diff(spans.offsets.to_numpy()))
+    data, offsets = text_bytes(texts.take(pa.array(hit)))
+    data, kept = data.tobytes(), [None] * len(texts)
+    for row, cuts, at, stop in zip(hit.tolist(), spans.take(pa.array(hit)).to_pylist(),
+                                   offsets[:-1].tolist(), offsets[1:].tolist()):
+        first, parts = at, []
+        for cut in cuts:
+            parts.append(data[at:first + cut["first_byte"]])
+            at = first + cut["end_byte"]
+        kept[row] = b"".join([*parts, data[at:stop]])
     return strings(kept)
 
 
@@ -290,9 +306,19 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, text: str = "text",
     name = "_match"
     while name in docs.columns:
         name = f"_{name}"
+    start = _finder(items, item_id, item_text, window, block_words)
+
+    # Found and cut by one worker: two for each running task would hold twice the memory.
+    def clean(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        find = start()
+        for column in columns:
+            n_words, spans, _ = find(column).flatten()
+            yield pa.StructArray.from_arrays([n_words, spans, _cut(column, spans)],
+                                             ["n_words", "spans", "rest"])
+
+    cleaned = F.arrow_udf(clean, _CLEANED).asNondeterministic()
     spans = F.col(name)["spans"]
     keep = hit_words(spans) <= F.lit(max_coverage) * F.col(name)["n_words"]
-    matched = match_items(docs, items, text=text, item_id=item_id, item_text=item_text,
-                          window=window, block_words=block_words, into=name)
-    rest = F.when(F.size(spans) > 0, F.arrow_udf(_cut, "string")(F.col(text), spans)).otherwise(F.col(text))
+    rest = F.coalesce(F.col(name)["rest"], F.col(text))
+    matched = docs.withColumn(name, cleaned(F.col(text).cast("string")))
     return matched.where(keep).withColumn(text, rest).select(*docs.columns)

@@ -114,6 +114,19 @@ def test_decontaminated_documents_keep_their_columns_and_lose_the_passages(spark
     assert decontaminate(frame([]), items).count() == 0
 
 
+@pytest.mark.parametrize("block_words", [100_000, 4])
+def test_one_worker_finds_and_cuts_passages(spark, frame, block_words):
+    docs = frame([(1, "x a b c d y z u v"), (2, "a b c d"), (3, None), (4, "ü a b c d ö b c d e f g h i j w"),
+                  (5, ""), (6, "no hit")])
+    items = spark.createDataFrame([("q", "a b c d"), ("r", "b c d e"), ("s", "k l m n o p q")],
+                                  "item_id string, text string")
+    left = decontaminate(docs, items, window=4, block_words=block_words)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    found = {row["doc_id"]: row["text"] for row in left.collect()}
+    assert found == {1: "x  y z u v", 3: None, 4: "ü  ö  f g h i j w", 5: "", 6: "no hit"}
+
+
 def test_licences(frame, hard):
     notice = "Licensed under the Apache License, Version 2.0."
     rows = [(20, f"x {notice} y"), (21, "CC-BY cc by, All Rights reserved"), (22, "all rights"),
